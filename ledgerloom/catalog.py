@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["retail", "exercises"]
+MODULES = ["retail", "exercises", "delivery", "clearance", "arrears"]
 
 
 def registries():

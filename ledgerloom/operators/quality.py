@@ -10,12 +10,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def first_per_key(df: DataFrame, key: str | Sequence[str], ordinal: Sequence[str]) -> DataFrame:
-    """One row per key, the first by ``ordinal`` (``dropDuplicates`` keeps an arbitrary one)."""
+def first_per_key(df: DataFrame, key: str | Sequence[str], ordinal: Sequence[str], copies: str | None = None) -> DataFrame:
+    """One row per key, the first by ``ordinal`` (``dropDuplicates`` keeps an arbitrary one).
+
+    An aggregate, so the copies of a hot key are reduced before the shuffle.
+    With ``copies`` the number of rows each kept row stands for is added.
+    """
     keys = [key] if isinstance(key, str) else list(key)
     rest = [c for c in df.columns if c not in keys]
-    row = F.min_by(F.struct(*rest), F.struct(*ordinal)).alias("_row")
-    return df.groupBy(*keys).agg(row).select(*keys, "_row.*").select(*df.columns)
+    aggs = [F.min_by(F.struct(*rest), F.struct(*ordinal)).alias("_row")]
+    keep = list(df.columns)
+    if copies:
+        aggs.append(F.count(F.lit(1)).alias(copies))
+        keep.append(copies)
+    out = df.groupBy(*keys).agg(*aggs)
+    return out.select(*keys, "_row.*", *([copies] if copies else [])).select(*keep)
 
 
 def last_per_key(df: DataFrame, key: str | Sequence[str], ordinal: Sequence[str]) -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
+
 FILE_ORDER = ("_file", "_block", "_row")
 
 
@@ -29,6 +31,17 @@ def read_csv(spark: SparkSession, path: str, schema: str | T.StructType, date_fo
     return reader.schema(schema).csv(path)
 
 
+def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows that fit the schema, and the raw lines that do not.
+
+    The delivery is written out once with every column parsed: a later query
+    reads only some columns, and a fault in an unread column would go unseen.
+    """
+    whole = materialize(df, "delivery")
+    bad = F.col("_corrupt_record").isNotNull()
+    return whole.filter(~bad).drop("_corrupt_record"), whole.filter(bad).select("_corrupt_record")
+
+
 def with_file_order(df: DataFrame) -> DataFrame:
     """Add the position of each row in its source files, for keep-first rules.
 
@@ -70,15 +83,6 @@ def read_json_documents(spark: SparkSession, path: str, schema: str | T.StructTy
     return spark.read.schema(schema).option("multiLine", multi_line).json(path)
 
 
-def sample_by_key(df: DataFrame, key: str, percent: int) -> DataFrame:
-    """A repeatable share of the keys, by hash.
-
-    Stands in for 'first N rows', which has no meaning in a distributed read.
-    A key is either wholly in or wholly out.
-    """
-    return df.filter(F.pmod(F.xxhash64(key), F.lit(100)) < percent)
-
-
 def resolve_columns(df: DataFrame, spec: Mapping[str, Sequence], case_insensitive: bool = False) -> DataFrame:
     """Bring a delivery with unknown headers to target columns.
 
