@@ -83,3 +83,22 @@ def dense_rank_of(df: DataFrame, value: str, name: str, descending: bool = True)
     distinct = df.select(value).where(F.col(value).isNotNull()).distinct()
     order = F.col(value).desc() if descending else F.col(value).asc()
     return df.join(with_position(distinct, [order], name), value, "left")
+
+
+def next_at(left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str, name: str) -> DataFrame:
+    """Each left row with the first right time at or after its own, per key (NULL when none follows).
+
+    An as-of join without pairs: both sides are put in one order by key and
+    time, and every row looks ahead inside its slice, then to the key's later
+    slices. A key of any size spreads over many slices.
+    """
+    rows = left.select(key, F.col(left_time).alias("_at"), F.lit(0).alias("_kind"), F.struct(*left.columns).alias("_row")).unionByName(
+        right.select(key, F.col(right_time).alias("_at"), F.lit(1).alias("_kind")), allowMissingColumns=True)
+    rows = _sliced(rows, [F.col(key), F.col("_at"), F.col("_kind")])
+    hit = F.when(F.col("_kind") == 1, F.col("_at"))
+    later = rows.groupBy(key, "_slice").agg(F.min(hit).alias("_first"))
+    after = Window.partitionBy(key).orderBy(F.col("_slice").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    later = later.select(key, "_slice", F.min("_first").over(after).alias("_later"))
+    ahead = Window.partitionBy("_slice", key).orderBy(F.col("_seq").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    found = rows.withColumn("_next", F.min(hit).over(ahead)).filter(F.col("_kind") == 0)
+    return found.join(later, [key, "_slice"]).select("_row.*", F.coalesce("_next", "_later").alias(name))
