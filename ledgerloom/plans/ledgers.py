@@ -14,7 +14,7 @@ from ..operators.ordered import next_at
 from ..session import new_path
 from ..sources import schemas
 from ..sources.files import read_json_documents
-from ..sources.sinks import append_log, recent
+from ..sources.sinks import append_log, recent, write_json_documents
 from . import tables as t
 from .registry import Registry
 from .tables import with_sql
@@ -119,7 +119,7 @@ SELECT promise_id, account_id, officer_name, CAST(amount AS DOUBLE) AS amount_fc
 def _(spark: SparkSession, sf: str) -> DataFrame:
     """The ledger written as JSON documents and read back with its declared schema; absent fields are NULL."""
     path = new_path(spark, "promises")
-    promises(spark, sf).drop("changed_at").withColumn("amount_fcfa", _double("amount_fcfa")).write.json(path)
+    write_json_documents(promises(spark, sf).drop("changed_at").withColumn("amount_fcfa", _double("amount_fcfa")), path)
     return read_json_documents(spark, path, schemas.PROMISES).select(
         "promise_id", "account_id", "officer_name", "amount_fcfa", "promise_date", "status", "created_at")
 

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ..session import materialize
 
+JSON_TIME = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
 FILE_ORDER = ("_file", "_block", "_row")
 
 
@@ -80,7 +81,7 @@ def read_json_documents(spark: SparkSession, path: str, schema: str | T.StructTy
     """
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("multiLine", multi_line).json(path)
+    return spark.read.schema(schema).option("multiLine", multi_line).option("timestampNTZFormat", JSON_TIME).json(path)
 
 
 def resolve_columns(df: DataFrame, spec: Mapping[str, Sequence], case_insensitive: bool = False) -> DataFrame:

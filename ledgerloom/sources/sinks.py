@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.quality import first_per_key
+from .files import JSON_TIME
 
 
 def new_rows(target: DataFrame, delivery: DataFrame, key: str | Sequence[str], ordinal: Sequence[str]) -> DataFrame:
@@ -43,6 +44,11 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.option("header", True).csv(path)
 
 
+def write_json_documents(df: DataFrame, path: str) -> None:
+    """One document per line, times to the microsecond."""
+    df.write.option("timestampNTZFormat", JSON_TIME).json(path)
+
+
 def append_log(df: DataFrame, path: str, time: str = "created_at") -> None:
     """Append audit rows, partitioned by day."""
     df.withColumn("created_date", F.col(time).cast("date")).write.mode("append").partitionBy("created_date").parquet(path)
