@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["retail", "exercises", "delivery", "clearance", "arrears", "collections", "ledgers", "modeling"]
+MODULES = ["retail", "exercises", "delivery", "clearance", "arrears", "collections", "ledgers", "streams", "modeling"]
 
 
 def registries():
