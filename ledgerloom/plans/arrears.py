@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import arrears as a
 from ..operators.splits import entity_split
+from ..session import materialize
 from . import tables as t
 from .registry import Registry
 from .tables import APPLICATIONS, BUREAU, INSTALMENTS, POS_CASH, with_sql
@@ -23,6 +24,12 @@ def events(spark: SparkSession, sf: str) -> DataFrame:
     return a.arrears_events(t.instalments(spark, sf), TIES)
 
 
+def sources(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Instalments and their events, each written once: the features read both several times."""
+    inst = materialize(t.instalments(spark, sf), "instalments")
+    return inst, materialize(a.arrears_events(inst, TIES), "events")
+
+
 EVENTS = """late AS (SELECT *, DAYS_ENTRY_PAYMENT - DAYS_INSTALMENT AS days_late, AMT_PAYMENT < AMT_INSTALMENT * CAST(0.95 AS DECIMAL(3,2)) AS underpaid FROM inst),
 arr AS (SELECT *, row_number() OVER (PARTITION BY SK_ID_CURR, SK_ID_PREV ORDER BY DAYS_INSTALMENT DESC, NUM_INSTALMENT_NUMBER DESC, tie_a DESC, tie_b DESC) AS rn
   FROM late WHERE (coalesce(days_late >= 15, FALSE) OR days_late IS NULL OR coalesce(underpaid AND days_late >= 0, FALSE)) AND AMT_INSTALMENT > 0),
@@ -92,7 +99,8 @@ _HISTORY = ["prior_instalments_count", "prior_late_count", "prior_late_ratio", "
 for _name, _as_of in (("repayment_history_known", "known"), ("repayment_history_due", "due")):
     def _make(as_of: str):
         def run(spark: SparkSession, sf: str) -> DataFrame:
-            return a.repayment_history(events(spark, sf), t.instalments(spark, sf), as_of, TIES).select("SK_ID_CURR", "SK_ID_PREV", *_HISTORY)
+            inst, ev = sources(spark, sf)
+            return a.repayment_history(ev, inst, as_of, TIES).select("SK_ID_CURR", "SK_ID_PREV", *_HISTORY)
         return run
 
     R.query(_name, with_sql(INSTALMENTS, EVENTS, _history_sql(_as_of == "known"), body=f"SELECT SK_ID_CURR, SK_ID_PREV, {', '.join(_HISTORY)} FROM hist"))(_make(_as_of))
@@ -112,7 +120,8 @@ FEATURES_SQL = (INSTALMENTS, APPLICATIONS, BUREAU, POS_CASH, EVENTS, _history_sq
 
 
 def features(spark: SparkSession, sf: str) -> DataFrame:
-    return a.arrears_features(events(spark, sf), t.instalments(spark, sf), t.applications(spark, sf), t.bureau(spark, sf),
+    inst, ev = sources(spark, sf)
+    return a.arrears_features(ev, inst, t.applications(spark, sf), t.bureau(spark, sf),
                               t.pos_cash(spark, sf), "known", TIES)
 
 

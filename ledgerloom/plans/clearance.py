@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import clearance as c
 from ..operators.joins import flag_missing
 from ..operators.splits import date_folds, time_split, with_folds
+from ..session import materialize
 from . import tables as t
 from .registry import Registry
 from .tables import CONTAINERS, VESSELS, with_sql
@@ -107,8 +108,10 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def features(spark: SparkSession, sf: str) -> DataFrame:
+    """All features; the cleaned containers are written once, because every feature reads them again."""
     vessels = t.vessels(spark, sf)
-    return c.build_features(flag_missing(t.containers(spark, sf), vessels, "vessel_id", "vessel_missing"), vessels)
+    rows = materialize(flag_missing(t.containers(spark, sf), vessels, "vessel_id", "vessel_missing"), "containers")
+    return c.build_features(rows, vessels)
 
 
 @R.query("time_split_rates", with_sql(CONTAINERS, body=f"""
