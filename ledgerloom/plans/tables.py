@@ -97,7 +97,8 @@ def containers(spark: SparkSession, sf: str) -> DataFrame:
         .join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .select(
-            F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("container_id"),
+            F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_shipdate").cast("date").cast("string"),
+                        F.col("l_quantity").cast("int").cast("string")).alias("container_id"),
             F.col("l_orderkey").alias("vessel_id"), F.col("o_custkey").alias("importer_id"),
             F.col("l_suppkey").alias("broker_id"), F.col("p_brand").alias("hs_chapter"),
             F.concat(F.when(F.col("p_size") % 2 == 0, "40").otherwise("20"), F.lit("FT "), F.col("p_type")).alias("container_type"),
@@ -118,7 +119,7 @@ def vessels(spark: SparkSession, sf: str) -> DataFrame:
 
 
 CONTAINERS = """containers AS (
-  SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS container_id, l_orderkey AS vessel_id,
+  SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_shipdate AS DATE), CAST(l_quantity AS INTEGER)) AS container_id, l_orderkey AS vessel_id,
          o_custkey AS importer_id, l_suppkey AS broker_id, p_brand AS hs_chapter,
          (CASE WHEN p_size % 2 = 0 THEN '40' ELSE '20' END) || 'FT ' || p_type AS container_type,
          o_orderpriority AS origin_port, CAST(l_quantity AS DECIMAL(18,2)) AS gross_weight_kg,
