@@ -22,7 +22,7 @@ from ..sources import files, schemas
 from ..sources.sinks import insert_if_absent, write_csv
 from . import tables as t
 from .registry import Registry
-from .tables import AGENTS, CONTAINERS, LINES, SERVICES, TRANSACTIONS, VESSELS, with_sql
+from .tables import AGENTS, CONTAINERS, LINES, TRANSACTIONS, VESSELS, with_sql
 
 R = Registry()
 

@@ -9,7 +9,6 @@ from ..session import new_path
 from ..streaming import logs
 from ..streaming.promises import resolve_promises
 from . import ledgers as lg
-from . import tables as t
 from .collections import FEEDBACK, feedback_log
 from .ledgers import PROMISES
 from .registry import Registry

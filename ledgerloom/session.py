@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import sys
 import tempfile
 import uuid
@@ -46,9 +47,12 @@ def shared_folder(spark: SparkSession) -> str:
         return current.rsplit("/", 1)[0]
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="ledgerloom-")
-    spark.conf.set(CHECKPOINT_KEY, folder)
-    return folder
+    return _local_folder()
+
+
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="ledgerloom-")
 
 
 def new_path(spark: SparkSession, name: str) -> str:
