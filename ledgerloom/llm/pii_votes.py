@@ -31,7 +31,7 @@ BASE = {
 }
 #: Looser patterns: addresses written out, and runs of digits laid out like a phone or card number.
 LOOSE = {
-    "mail_like": rf"(?i)(?:\G|(?<![{_LOCAL}]))[{_LOCAL}]++\x20?(?:\(at\)|\[at\]|\x20at\x20)\x20?[A-Za-z0-9-]++(?:\x20?(?:\(dot\)|\[dot\]|\x20dot\x20|\.)\x20?[A-Za-z0-9-]++)++",
+    "mail_like": rf"(?i)(?:\G|(?<![{_LOCAL}]))[{_LOCAL}]++(?:\x20?(?:\(at\)|\[at\])\x20?[A-Za-z0-9-]++(?:(?:\x20?(?:\(dot\)|\[dot\])\x20?|\.)[A-Za-z0-9-]++)++|\x20at\x20[A-Za-z0-9-]++(?:\x20dot\x20[A-Za-z0-9-]++)++)",
     "number_like": r"(?:\G|(?<![0-9A-Za-z]))\(?[0-9](?:[\x20().-]{0,2}[0-9])++",
 }
 #: What a text must hold for a pattern to be tried: cheap, and never wrong.
@@ -100,6 +100,8 @@ def votes(kind: Column, m: Column, before: Column) -> dict[str, Column]:
     """1 for, 0 against, NULL no vote."""
     d = digits_of(m)
     n = F.length(d)
+    written = m
+    m = F.when(kind == "mail_like", F.regexp_replace(F.regexp_replace(m, r"(?i)\x20?(?:\(at\)|\[at\]|\x20at\x20)\x20?", "@"), r"(?i)\x20?(?:\(dot\)|\[dot\]|\x20dot\x20)\x20?", ".")).otherwise(m)
     mail = kind.isin("email", "mail_like")
     number = kind.isin("card", "phone", "number_like")
     domain = F.lower(F.regexp_extract(m, r"([A-Za-z0-9]+)$", 1))
@@ -108,7 +110,7 @@ def votes(kind: Column, m: Column, before: Column) -> dict[str, Column]:
     gazetteer = F.when(mail, domain.isin(*TOP_DOMAINS)).when(number, F.when(n >= 14, d.rlike(ISSUERS)).when(m.startswith("+"), m.rlike(DIAL_CODES))).when(kind == "ip", ~m.rlike(r"^0"))
     context = F.when(before.rlike(CONTEXT), True)
     layout = F.when(number, m.rlike(r"^\+?[0-9]{0,3}[\x20.-]?\(?[0-9]{3}\)?[\x20.-]?[0-9]{3}[\x20.-][0-9]{4}$") | m.rlike(r"^[0-9]{4}([\x20-])[0-9]{4}\1[0-9]{4}\1[0-9]{2,7}$") | ((n == 16) & m.rlike(r"^[0-9]+$"))).when(
-        mail, m.rlike(r"^[^\x20]+$"))
+        kind == "email", ~written.rlike(r"[.%+-]@"))
     return {k: v.cast("int") for k, v in zip(LABELERS, (strict, gazetteer, context, layout))}
 
 

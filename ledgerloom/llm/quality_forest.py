@@ -1,8 +1,8 @@
 """Quality rules with an isolation forest over their statistics.
 
 Every document gets the statistics of the usual rules. A forest of random splits
-is grown on a bounded sample of well-labelled documents, so a short path means
-"unlike documents that people kept". The cut on the path score comes from all
+is grown on a bounded sample of the labelled documents; where most of them are
+well labelled, a short path means "unlike what people kept". The cut on the path score comes from all
 labelled documents, by a histogram of fixed size.
 """
 
@@ -24,6 +24,7 @@ MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 20, 30, 8
 SYMBOLS = "#*$%&|<>"
 _DROPPED_SPACE = {c: None for c in (0x20, *range(0x09, 0x0E))}
 _ONLY_SYMBOLS = bytes(c for c in range(256) if chr(c) not in SYMBOLS)
+_ONLY_MARKS = bytes(c for c in range(256) if not (33 <= c <= 47 or 58 <= c <= 64))
 
 #: Labelled documents the forest may be grown on (a bound on the driver's memory, not on what is judged).
 SAMPLE_ROWS = 4096
@@ -33,7 +34,7 @@ MAX_GOOD_LOSS = 0.005
 BINS = 2000
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-RATIOS = ["r_symbols", "r_dup_lines", "r_repeat", "r_upper", "r_digits", "r_marks", "mean_word", "r_distinct", "r_line_words"]
+RATIOS = ["symbols", "capitals", "marks", "word_length", "distinct_words"]
 
 
 def repeated_words(words: list[bytes]) -> int:
@@ -61,25 +62,24 @@ def repeated_words(words: list[bytes]) -> int:
     return int(np.count_nonzero(np.cumsum(edge)[:n]))
 
 
-def repeated_lines(text: str) -> tuple[int, int]:
-    """Lines that hold a word and equal an earlier line; lines that hold a word."""
+def repeated_lines(text: str) -> int:
+    """Lines that hold a word and equal an earlier line."""
     lines = [x for x in text.encode().split(b"\n") if x.strip(b" \t\n\r\x0b\x0c")]
-    return len(lines) - len(set(lines)), len(lines)
+    return len(lines) - len(set(lines))
 
 
 def statistics(text: str) -> list[float]:
     raw = text.encode()
     words = raw.split()  # bytes split at exactly the ASCII white space of the rules
     n = len(words)
-    dup, lines = repeated_lines(text)
+    dup = repeated_lines(text)
     symbols = len(raw.translate(None, _ONLY_SYMBOLS))
-    chars = len(text.translate(_DROPPED_SPACE)) if text else 0
-    rep = repeated_words(words)
-    upper = sum(map(str.isupper, text)) if chars else 0
-    digits = len(raw.translate(None, bytes(c for c in range(256) if not 48 <= c <= 57)))
-    marks = len(raw.translate(None, bytes(c for c in range(256) if not (33 <= c <= 47 or 58 <= c <= 64))))
-    w, c = max(n, 1), max(chars, 1)
-    return [n, chars, symbols, dup, rep, symbols / w, dup / max(lines, 1), rep / w, upper / c, digits / c, marks / w, chars / w, len(set(words)) / w ** 0.8, np.log1p(n / max(lines, 1))]
+    chars = len(text.translate(_DROPPED_SPACE))
+    upper = sum(map(str.isupper, text))
+    marks = len(raw.translate(None, _ONLY_MARKS))
+    # short texts are drawn towards usual values, so that chance does not make them look odd
+    ratios = [symbols / (n + 20), (upper + 5) / (chars + 300), (marks + 7) / (n + 50), (chars + 250) / (n + 50), len(set(words)) / max(n, 1) ** 0.8]
+    return [n, chars, symbols, dup, repeated_words(words), *ratios]
 
 
 def rule_statistics(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
@@ -197,7 +197,7 @@ def judge_quality(docs: DataFrame, labels: DataFrame, keep: list[str] | None = N
     known = labels.filter(f"{ident} is not null and {quality} is not null").groupBy(F.col(ident).alias("_id")).agg(F.min(quality).alias("_label"))
     labelled = stats.filter("not base_failed").select("_id", "stats").join(known, "_id")
     # the sample is the same at every run: the rows with the least digests of their statistics and id
-    sample = labelled.filter("_label = 1").select("stats", F.xxhash64("_id", "stats").alias("_h")).orderBy("_h").limit(sample_rows).select("stats")
+    sample = labelled.select("stats", F.xxhash64("_id", "stats").alias("_h")).orderBy("_h").limit(sample_rows).select("stats")
     forest = grow(np.array([r[0] for r in sample.collect()], float).reshape(-1, len(RATIOS)))
     bins = score(labelled, forest).groupBy(F.floor(F.col("score") * BINS).cast("int").alias("bin")).agg(F.count_if(F.col("_label") == 1).alias("good"), F.count_if(F.col("_label") == 0).alias("bad"))
     cut = cut_from([tuple(r) for r in bins.collect()], max_good_loss)

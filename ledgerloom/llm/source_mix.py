@@ -63,11 +63,11 @@ def mix(docs: DataFrame, ident: str = "doc_id", source: str = "source", text: st
     order; a source of size 0 has target 0 and is not taken. Rows that share an
     id draw the same number. Columns of these names in ``docs`` are replaced.
     """
-    fresh = ["size", "source_size", "target", "copies", "_key"]
+    fresh = ["size", "source_size", "target", "copies"]
     base = docs.drop(*fresh).withColumn("size", word_count(text))
-    targets = source_targets(base.select(F.col(source).alias("_source"), "size"), "_source", "size", weights, budget, ceiling)
+    targets = source_targets(base.select(F.col(source).alias("_mix_source"), "size"), "_mix_source", "size", weights, budget, ceiling)
     # at most one row per source; Spark broadcasts it only if its measured size allows
-    joined = base.join(targets.drop("weight"), base[source].eqNullSafe(targets["_source"]), "left").drop("_source")
+    joined = base.join(targets.drop("weight"), base[source].eqNullSafe(targets["_mix_source"]), "left").drop("_mix_source")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     copies = F.floor(rate) + F.when(draw(ident, seed) < rate - F.floor(rate), 1).otherwise(0)
     return joined.withColumn("copies", copies.cast("bigint"))
