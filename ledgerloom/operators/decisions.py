@@ -11,6 +11,7 @@ from ..functions.dates import age_years
 from ..functions.numbers import bucket_of, clip, power_score, shift_log_odds
 from ..functions.text import amount_text, join_first, percent_text
 from .ordered import running_sum, with_position
+from .quality import tag_first_failure
 
 # Channels in order of cost, with their cost and lift, and the gates of a visit.
 CHANNELS = [("SMS", 50.0, 1.00), ("CALL", 500.0, 1.25), ("FIELD_VISIT", 5000.0, 1.45)]
@@ -32,11 +33,6 @@ ZONES = [
     ("Mankon / Small Mankon (Zone 4)", "L2: Daylight Only"),
     ("Old Council / Hospital Roundabout (Zone 5)", "L1: Safe Transit"),
 ]
-# Savings groups by account number.
-SAVINGS_GROUPS = [
-    "Mankon Traders Njangi House", "Nkwen Farmers Cooperative Tontine", "Commercial Avenue Retailers Association",
-    "Up Station Civil Servants Solidarity Group", "Bamenda Food Market Women Association",
-]
 OFFICERS = ["Officer 1 - John N.", "Officer 2 - Beatrice M.", "Officer 3 - Emmanuel K."]
 
 
@@ -51,7 +47,8 @@ def vulnerability(prob: Column, debt: Column, days_birth: Column, days_employed:
 
 
 def channel_value(prob: Column, debt: Column, cost: float, lift: float) -> Column:
-    return F.least(F.lit(0.99), prob * F.lit(lift)) * debt - F.lit(cost)
+    """Net value of a channel; a missing probability has no value, and the cheapest channel is chosen for it."""
+    return clip(prob * F.lit(lift), high=0.99) * debt - F.lit(cost)
 
 
 def recommend_channel(df: DataFrame, prob: str = "recovery_probability", debt: str = "overdue_amount") -> DataFrame:
@@ -106,18 +103,6 @@ def add_zone(df: DataFrame, account: str = "SK_ID_CURR") -> DataFrame:
     return out.join(F.broadcast(zone_table(df.sparkSession)), "zone", "left")
 
 
-def group_resolution(account: Column) -> dict[str, Column]:
-    """Fields of the savings group behind an account."""
-    name = _pick(SAVINGS_GROUPS, bucket_of(account, len(SAVINGS_GROUPS)))
-    return {
-        "group_name": name,
-        "group_id": F.concat(F.lit("NJG-BMD-"), (bucket_of(account * 7, 9000) + 1000).cast("string")),
-        "group_contact": F.concat(F.lit("+23767"), F.lpad(bucket_of(account * 13, 10000000).cast("string"), 7, "0")),
-        "co_guarantors": (bucket_of(account, 3) + 2).cast("int"),
-        "group_note": F.concat(F.lit("Contact Njangi Executive at "), name, F.lit(" for cooperative peer resolution prior to collateral action.")),
-    }
-
-
 def route_savings(df: DataFrame, officer: str = "assigned_officer") -> DataFrame:
     """Distance and fuel saved per officer when visits are grouped by zone."""
     visit = F.col("recommended_channel") == "FIELD_VISIT"
@@ -254,8 +239,8 @@ def channel_with_live_costs(df: DataFrame, prob: str, fuel_price: float = 850.0,
     visit_cost, sms_cost = 2500.0 + 3.0 * fuel_price, 50.0
     p, ratio, debt = F.col(prob), F.col("partial_recovery_ratio"), F.col("overdue_amount").cast("double")
     sms = p * ratio * debt - sms_cost
-    call = F.least(F.lit(0.99), p * 1.25) * ratio * debt - airtime
-    visit = F.least(F.lit(0.99), p * 1.45) * ratio * debt - visit_cost
+    call = clip(p * 1.25, high=0.99) * ratio * debt - airtime
+    visit = clip(p * 1.45, high=0.99) * ratio * debt - visit_cost
     chosen = (
         F.when(F.coalesce(F.col("is_vulnerable"), F.lit(False)), F.when(debt >= 25000, "CALL").otherwise("SMS"))
         .when((visit > F.greatest(sms, call)) & (debt >= 40000) & (p >= 0.10), "FIELD_VISIT")
@@ -304,23 +289,40 @@ def repayment_plan(debt: Column, days: int = 30) -> dict[str, Column]:
 
 # ---- payment reconciliation --------------------------------------------------------------------
 
-def reconcile(balances: DataFrame, payments: DataFrame, account: str = "account_id") -> DataFrame:
-    """Each payment on a known account with the balance before and after it.
+def reconcile(balances: DataFrame, payments: DataFrame, on: Sequence[str] = ("account_id",)) -> DataFrame:
+    """Each payment on a known balance with the amount due before and after it.
 
-    ``payments`` has the account, ``amount``, ``paid_at`` and a unique
-    ``payment_id``. Rows without a readable positive amount are dropped. The
-    balance falls to a floor of 0; because payments are positive, the floor of
-    the running balance equals flooring it at every step.
+    ``payments`` has the key, ``amount``, ``paid_at`` and a unique
+    ``payment_id``. Only payments whose key names exactly one balance are
+    booked; the others are in :func:`reconcile_rejects`. The balance falls to a
+    floor of 0; because payments are positive, the floor of the running balance
+    equals flooring it at every step.
     """
-    valid = payments.select(account, F.col("amount").try_cast("decimal(18,2)").alias("amount"), "paid_at", "payment_id")
-    valid = valid.filter(F.col("amount") > 0).join(balances.select(account), account, "left_semi")
-    run = running_sum(valid, [account], [F.col("paid_at"), F.col("payment_id")], "amount", "_paid")
+    on = list(on)
+    tagged = _tag_payments(balances, payments, on)
+    valid = tagged.filter(F.col("reject_rule").isNull()).select(*on, "amount", "paid_at", "payment_id")
+    run = running_sum(valid, on, [F.col("paid_at"), F.col("payment_id")], "amount", "_paid")
     due = F.col("balance_due")
     zero = F.lit(0).cast("decimal(38,2)")
-    out = run.join(balances, account).withColumns({
+    out = run.join(balances, on).withColumns({
         "due_before": F.greatest(zero, due - (F.col("_paid") - F.col("amount"))), "due_after": F.greatest(zero, due - F.col("_paid"))})
     return out.withColumn("outcome", F.when(F.col("due_after") == 0, "PAID_IN_FULL").otherwise("PARTIAL_PAYMENT")).select(
-        account, "payment_id", "paid_at", "amount", "due_before", "due_after", "outcome")
+        *on, "payment_id", "paid_at", "amount", "due_before", "due_after", "outcome")
+
+
+def _tag_payments(balances: DataFrame, payments: DataFrame, on: list[str]) -> DataFrame:
+    """Payments with the first rule they break; balances are counted per key before the join."""
+    amount = F.col("amount").try_cast("decimal(18,2)")
+    held = balances.groupBy(*on).agg(F.count(F.lit(1)).alias("_balances"))
+    df = payments.select(*on, amount.alias("amount"), "paid_at", "payment_id").join(held, on, "left")
+    return tag_first_failure(df, [
+        ("unreadable_amount", F.col("amount").isNull()), ("amount_not_positive", F.col("amount") <= 0),
+        ("unknown_account", F.col("_balances").isNull()), ("ambiguous_account", F.col("_balances") > 1)]).drop("_balances")
+
+
+def reconcile_rejects(balances: DataFrame, payments: DataFrame, on: Sequence[str] = ("account_id",)) -> DataFrame:
+    """Payments that were not booked, with the first rule they break."""
+    return _tag_payments(balances, payments, list(on)).filter(F.col("reject_rule").isNotNull())
 
 
 def remaining_balances(balances: DataFrame, payments: DataFrame, account: str = "account_id") -> DataFrame:
@@ -337,8 +339,8 @@ def settle_promises(promises: DataFrame, payments: DataFrame, account: str = "ac
     """Pending promises of accounts that paid become KEPT, with the account's first payment in the note.
 
     With ``require_full`` a promise is kept only when the payments made by its
-    date reach its amount; payments are summed per day first, so the join meets
-    at most one row per account and day.
+    date reach its amount: payments per day and promises stand in one order per
+    account, and a running sum over it gives what was paid by each promise's day.
     """
     amount = F.col("amount").try_cast("decimal(18,2)")
     valid = payments.withColumn("amount", amount).filter(F.col("amount") > 0)
@@ -346,10 +348,11 @@ def settle_promises(promises: DataFrame, payments: DataFrame, account: str = "ac
     out = promises.join(first, account, "left")
     kept = (F.col("status") == "PENDING") & F.col("_first").isNotNull()
     if require_full:
-        daily = valid.groupBy(account, F.col("paid_at").cast("date").alias("_day")).agg(F.sum("amount").alias("_d"))
-        pending = promises.filter(F.col("status") == "PENDING").select("promise_id", account, "promise_date")
-        enough = pending.join(daily, account).filter(F.col("_day") <= F.col("promise_date")).groupBy("promise_id").agg(F.sum("_d").alias("_sum"))
-        out = out.join(enough, "promise_id", "left")
+        daily = valid.groupBy(account, F.col("paid_at").cast("date").alias("_at")).agg(F.sum("amount").alias("_d"))
+        pending = promises.filter(F.col("status") == "PENDING").select(account, F.col("promise_date").alias("_at"), "promise_id")
+        both = daily.withColumn("_kind", F.lit(0)).unionByName(pending.withColumn("_kind", F.lit(1)), allowMissingColumns=True).withColumn("_d", F.coalesce("_d", F.lit(0)))
+        run = running_sum(both, [account], [F.col("_at"), F.col("_kind"), F.col("promise_id")], "_d", "_sum")
+        out = out.join(run.filter(F.col("_kind") == 1).select("promise_id", "_sum"), "promise_id", "left")
         kept = kept & (F.coalesce("_sum", F.lit(0)) >= F.col("amount_fcfa"))
     note = F.concat(F.lit("Auto-resolved: Payment of "), amount_text(F.col("_first")), F.lit(" FCFA received via bulk reconciliation."))
     return out.withColumns({"resolution_note": F.when(kept, note).otherwise(F.col("resolution_note")), "status": F.when(kept, "KEPT").otherwise(F.col("status"))}).select(*promises.columns)

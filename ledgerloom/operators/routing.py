@@ -17,12 +17,12 @@ KEYWORDS = [
         "how much money", "total cash", "expected recovery", "total value", "how much can we recover", "portfolio value", "total overdue",
         "book value", "money we fit recover", "how much we go get", "how much we fit make", "recovery forecast", "recovery total",
         "total balance", "total debt", "collect how much", "how much collectible", "recoverable"]),
-    ("REGULATORY_REPORT", [
+    ("COBAC_REGULATORY_REPORT", [
         "cobac", "regulation", "statutory reserve", "capital shield", "compliance", "par30", "par 30", "par 15", "par15", "provision",
         "mandatory reserve", "audit", "r-2017", "2017/07", "legal"]),
     ("CHANNEL_BREAKDOWN", ["sms", "whatsapp", "call", "momo", "mobile money", "channel", "best way to contact", "how to contact", "reach client"]),
     ("VULNERABLE_ACCOUNTS", ["vulnerable", "hardship", "shield", "senior", "elderly", "sick", "medical", "hospital", "restructure", "waivers"]),
-    ("PIDGIN_DEMO", ["speak pidgin", "script", "outreach call", "demo call", "pidgin script", "pidgin message", "voice script", "call script", "bilingual"]),
+    ("DEMO_PIDGIN_OUTREACH", ["speak pidgin", "script", "outreach call", "demo call", "pidgin script", "pidgin message", "voice script", "call script", "bilingual"]),
     ("HELP", ["help", "what can you do", "what can you say", "commands", "options", "how do i", "what do i ask", "example", "assist", "guide"]),
 ]
 ACCOUNT_WORDS = ["client", "account", "loan", "borrower", "check", "find", "#", "show", "open"]

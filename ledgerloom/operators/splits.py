@@ -38,14 +38,16 @@ def date_folds(df: DataFrame, day: str, n_splits: int = 5) -> DataFrame:
     With D days and k folds the test size is D // (k + 1); fold i validates the
     block of that size that ends (k - 1 - i) blocks before the last day and
     trains on all earlier days. ``val_fold`` is the fold a day is validated in,
-    NULL for the first block, so a day trains in every later fold.
+    NULL for the first block, so a day trains in every later fold. Fewer than
+    k + 1 days are an error.
     """
     days = df.select(day).where(F.col(day).isNotNull()).distinct()
     ranked = days.withColumn("_r", F.row_number().over(Window.orderBy(day)) - 1)  # one row per calendar day
     total = days.agg(F.count(F.lit(1)).alias("n")).scalar()
     size = F.floor(total / (n_splits + 1))
     fold = n_splits - 1 - F.floor((total - 1 - F.col("_r")) / size)
-    return ranked.select(day, F.when(fold >= 0, fold.cast("int")).alias("val_fold"))
+    short = F.raise_error(F.concat(F.lit(f"{n_splits} folds need at least {n_splits + 1} days, the table has "), total.cast("string"))).cast("int")
+    return ranked.select(day, F.when(total <= n_splits, short).when(fold >= 0, fold.cast("int")).alias("val_fold"))
 
 
 def with_folds(df: DataFrame, day: str, n_splits: int = 5) -> DataFrame:

@@ -91,17 +91,6 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return dec.add_zone(book(spark, sf)).select(*KEY, "zone", "security_badge")
 
 
-_GROUP = "CASE SK_ID_CURR % 5 " + " ".join(f"WHEN {i} THEN {_sql_text(g)}" for i, g in enumerate(dec.SAVINGS_GROUPS)) + " END"
-
-
-@R.query("savings_group_fields", with_sql(*BASE, body=f"""
-SELECT SK_ID_CURR, SK_ID_PREV, {_GROUP} AS group_name, 'NJG-BMD-' || CAST((SK_ID_CURR * 7) % 9000 + 1000 AS VARCHAR) AS group_id,
-  '+23767' || lpad(CAST((SK_ID_CURR * 13) % 10000000 AS VARCHAR), 7, '0') AS group_contact, CAST(SK_ID_CURR % 3 + 2 AS INTEGER) AS co_guarantors,
-  'Contact Njangi Executive at ' || {_GROUP} || ' for cooperative peer resolution prior to collateral action.' AS group_note FROM book"""))
-def _(spark: SparkSession, sf: str) -> DataFrame:
-    return book(spark, sf).select(*KEY, *[c.alias(n) for n, c in dec.group_resolution(F.col("SK_ID_CURR")).items()])
-
-
 @R.query("route_savings_per_officer", with_sql(*BASE, CONTACT, body=f"""
 , v AS (SELECT assigned_officer, count_if(recommended_channel = 'FIELD_VISIT') AS n, count(DISTINCT CASE WHEN recommended_channel = 'FIELD_VISIT' THEN SK_ID_CURR % 5 END) AS z FROM contact GROUP BY 1),
 s AS (SELECT *, n * 6.5::DOUBLE AS u, CASE WHEN n > 0 THEN z * 4.0::DOUBLE + n * 1.5::DOUBLE ELSE 0 END AS c FROM v), d AS (SELECT *, greatest(0.0, u - c) AS k FROM s)
@@ -309,10 +298,10 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 @R.query("full_action_plan", with_sql(*BASE, CONTACT, body=f"""
 , b AS (SELECT *, {_BRANCH} AS branch FROM contact), m(branch, language, template) AS (VALUES {_templates_sql(tpl.ACCOUNT_TEMPLATES)})
 SELECT b.SK_ID_CURR, b.SK_ID_PREV, recommended_channel, channel_cost_fcfa, expected_net_recovery_fcfa, is_vulnerable, action_reason, {_ZONE} AS zone, {_BADGE} AS security_badge,
-  {_fill_sql('e.template')} AS script_english, {_fill_sql('p.template')} AS script_pidgin, {_fill_sql("'{mtn}'")} AS ussd_mtn, {_GROUP} AS group_name
+  {_fill_sql('e.template')} AS script_english, {_fill_sql('p.template')} AS script_pidgin, {_fill_sql("'{mtn}'")} AS ussd_mtn
 FROM b JOIN m e ON e.branch = b.branch AND e.language = 'english' JOIN m p ON p.branch = b.branch AND p.language = 'pidgin'"""))
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    """Channel, reason, zone, both scripts, payment code and savings group on every row of the book."""
+    """Channel, reason, zone, both scripts and payment code on every row of the book."""
     b = dec.add_zone(dec.recommend_channel(book(spark, sf)))
     b = b.withColumn("branch", tpl.message_branch(F.col("is_vulnerable"), dec.segment(F.col(_P))))
     v = account_values(F.col(_A), F.col("SK_ID_CURR"), F.col("SK_ID_PREV"), F.col("assigned_officer"))
@@ -320,7 +309,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
         rows = [(br, text) for br, lang, text in tpl.ACCOUNT_TEMPLATES if lang == language]
         b = tpl.render_templates(b, rows, "branch string, template string", ["branch"], v, f"script_{language}")
     return b.select(*KEY, "recommended_channel", "channel_cost_fcfa", "expected_net_recovery_fcfa", "is_vulnerable", "action_reason", "zone", "security_badge",
-                    "script_english", "script_pidgin", v["mtn"].alias("ussd_mtn"), dec.group_resolution(F.col("SK_ID_CURR"))["group_name"].alias("group_name"))
+                    "script_english", "script_pidgin", v["mtn"].alias("ussd_mtn"))
 
 
 # ---- ranking metrics and policies --------------------------------------------------------------

@@ -181,6 +181,36 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
         "account_id", "payment_id", _double("amount"), _double("due_before"), _double("due_after"), "outcome")
 
 
+_LOANS = """loans AS (SELECT user_id AS account_id, event_id % 2 AS loan, count(*) AS n, sum(CAST(value AS DECIMAL(18,2))) AS due FROM events WHERE event_type = 'error' GROUP BY 1, 2),
+lpay AS (SELECT user_id AS account_id, event_id % 2 AS loan, CAST(value AS DECIMAL(18,2)) AS amount, ts AS paid_at, event_id AS payment_id FROM events WHERE event_type = 'purchase')"""
+
+
+def _by_loan(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Two loans per account: balances and payments keyed by account and loan."""
+    e = t.table(spark, sf, "events").select(F.col("user_id").alias("account_id"), F.pmod("event_id", F.lit(2)).alias("loan"), F.col("value").cast("decimal(18,2)").alias("amount"), F.col("ts").alias("paid_at"), F.col("event_id").alias("payment_id"), "event_type")
+    due = e.filter(F.col("event_type") == "error").groupBy("account_id", "loan").agg(F.sum("amount").alias("balance_due"))
+    return due, e.filter(F.col("event_type") == "purchase").drop("event_type")
+
+
+@R.query("payment_reconciliation_by_loan", with_sql(_LOANS, body="""
+, run AS (SELECT p.*, due, sum(amount) OVER (PARTITION BY account_id, loan ORDER BY paid_at, payment_id) AS paid FROM lpay p JOIN loans USING (account_id, loan) WHERE amount > 0)
+SELECT account_id, loan, payment_id, CAST(amount AS DOUBLE) AS amount, CAST(greatest(0, due - (paid - amount)) AS DOUBLE) AS due_before, CAST(greatest(0, due - paid) AS DOUBLE) AS due_after FROM run"""))
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Payments booked on their own loan of an account that has two."""
+    due, pay = _by_loan(spark, sf)
+    return dec.reconcile(due, pay, ["account_id", "loan"]).select("account_id", "loan", "payment_id", _double("amount"), _double("due_before"), _double("due_after"))
+
+
+@R.query("payments_not_booked", with_sql(_LOANS, body="""
+, per AS (SELECT account_id, count(*) AS n FROM loans GROUP BY 1),
+r AS (SELECT CASE WHEN amount <= 0 THEN 'amount_not_positive' WHEN n IS NULL THEN 'unknown_account' WHEN n > 1 THEN 'ambiguous_account' END AS reject_rule FROM lpay LEFT JOIN per USING (account_id))
+SELECT reject_rule, count(*) AS n_payments FROM r WHERE reject_rule IS NOT NULL GROUP BY 1"""))
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Without the loan a payment on an account of two loans is ambiguous and not booked."""
+    due, pay = _by_loan(spark, sf)
+    return dec.reconcile_rejects(due, pay, ["account_id"]).groupBy("reject_rule").agg(F.count(F.lit(1)).alias("n_payments"))
+
+
 @R.query("reconciliation_totals", with_sql(_PAY, PROMISES, body="""
 SELECT count(*) AS matched_payments, CAST(count_if(due_after = 0) AS BIGINT) AS payments_on_cleared, CAST(sum(amount) AS DOUBLE) AS total_reconciled,
   (SELECT count(*) FROM bal JOIN (SELECT account_id, sum(amount) AS p FROM pay WHERE amount > 0 GROUP BY 1) USING (account_id) WHERE due <= p) AS accounts_cleared,

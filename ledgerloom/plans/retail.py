@@ -212,7 +212,18 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---- pivot and melt ----------------------------------------------------------------------------
 
-# The service categories of the given tables.
+MAX_CATEGORIES = 200
+
+
+def categories(services: DataFrame) -> list[str]:
+    """The categories of the dimension, in order; more than a table can have as columns are an error."""
+    found = [r[0] for r in services.select("category").filter(F.col("category").isNotNull()).distinct().orderBy("category").limit(MAX_CATEGORIES + 1).collect()]
+    if len(found) > MAX_CATEGORIES:
+        raise ValueError(f"more than {MAX_CATEGORIES} categories cannot become columns")
+    return found
+
+
+# The service categories of the given tables, for the SQL that checks the pivot.
 CATEGORIES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 
 
@@ -240,9 +251,10 @@ SELECT CAST(date_trunc('month', txn_ts) AS DATE) AS txn_month, """ + ", ".join(
     f"CAST(coalesce(sum(amount_xaf) FILTER (WHERE category = '{c}'), 0) AS DOUBLE) AS {c}" for c in CATEGORIES) + """
 FROM lines JOIN services USING (service_code) GROUP BY 1"""))
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    wide = pivot_sum(monthly_by_category(t.transaction_lines(spark, sf), t.services(spark, sf)),
-                     "txn_month", "category", "amount_xaf", CATEGORIES)
-    return wide.select("txn_month", *[_double(c) for c in CATEGORIES])
+    services = t.services(spark, sf)
+    names = categories(services)
+    wide = pivot_sum(monthly_by_category(t.transaction_lines(spark, sf), services), "txn_month", "category", "amount_xaf", names)
+    return wide.select("txn_month", *[_double(c) for c in names])
 
 
 @R.query("monthly_category_melt", with_sql(SERVICES, LINES, body="""
@@ -251,9 +263,10 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 g AS (SELECT txn_month, category FROM (SELECT DISTINCT txn_month FROM m), (SELECT unnest([""" + ", ".join(f"'{c}'" for c in CATEGORIES) + """]) AS category))
 SELECT txn_month, category, CAST(coalesce(s, 0) AS DOUBLE) AS amount_xaf FROM g LEFT JOIN m USING (txn_month, category)"""))
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    wide = pivot_sum(monthly_by_category(t.transaction_lines(spark, sf), t.services(spark, sf)),
-                     "txn_month", "category", "amount_xaf", CATEGORIES)
-    return wide.unpivot(["txn_month"], CATEGORIES, "category", "amount_xaf").select("txn_month", "category", _double("amount_xaf"))
+    services = t.services(spark, sf)
+    names = categories(services)
+    wide = pivot_sum(monthly_by_category(t.transaction_lines(spark, sf), services), "txn_month", "category", "amount_xaf", names)
+    return wide.unpivot(["txn_month"], names, "category", "amount_xaf").select("txn_month", "category", _double("amount_xaf"))
 
 
 @R.query("pivot_round_trip_check", with_sql(SERVICES, LINES, body="""
@@ -262,9 +275,11 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 SELECT count(*) AS cells, CAST(0 AS BIGINT) AS cells_that_differ FROM m WHERE s <> 0"""))
 def _(spark: SparkSession, sf: str) -> DataFrame:
     """Melt of the pivot against the long form it came from: every cell must agree."""
-    long = monthly_by_category(t.transaction_lines(spark, sf), t.services(spark, sf))
-    melted = pivot_sum(long, "txn_month", "category", "amount_xaf", CATEGORIES).unpivot(
-        ["txn_month"], CATEGORIES, "category", "amount_xaf").filter(F.col("amount_xaf") != 0)
+    services = t.services(spark, sf)
+    names = categories(services)
+    long = monthly_by_category(t.transaction_lines(spark, sf), services)
+    melted = pivot_sum(long, "txn_month", "category", "amount_xaf", names).unpivot(
+        ["txn_month"], names, "category", "amount_xaf").filter(F.col("amount_xaf") != 0)
     differ = compare_frames(long, melted, ["txn_month", "category"]).agg(F.count(F.lit(1)).alias("d")).scalar()
     return long.agg(F.count(F.lit(1)).alias("cells")).select("cells", differ.alias("cells_that_differ"))
 

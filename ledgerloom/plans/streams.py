@@ -21,7 +21,7 @@ FILES = 4  # files per time slice, taken together by one trigger
 def _as_files(df: DataFrame, spark: SparkSession, time: str, name: str, parts: int = 4) -> str:
     """The rows as slices in time order, the way a source would deliver them."""
     path = new_path(spark, name)
-    bounds = df.agg(F.expr(f"percentile_approx(unix_micros(cast({time} AS timestamp)), array({', '.join(str(i / parts) for i in range(1, parts))}))").alias("b")).first()["b"]
+    bounds = [] if parts == 1 else df.agg(F.expr(f"percentile_approx(unix_micros(cast({time} AS timestamp)), array({', '.join(str(i / parts) for i in range(1, parts))}))").alias("b")).first()["b"]
     at = F.unix_micros(F.col(time).cast("timestamp"))
     edges = [None, *bounds, None]
     for i in range(parts):
@@ -34,6 +34,14 @@ def _as_files(df: DataFrame, spark: SparkSession, time: str, name: str, parts: i
     return path
 
 
+def _promise_events(spark: SparkSession, sf: str) -> DataFrame:
+    ledger = lg.promise_ledger(spark, sf)
+    due = (F.date_add(F.col("created_at").cast("date"), lg.KEEP_DAYS + 1)).cast("timestamp")
+    return ledger.select(
+        F.concat_ws("-", "promise_id", "seq").alias("event_id"), "promise_id", "status", F.col("event_time").cast("timestamp").alias("event_time"),
+        F.coalesce(due, F.col("event_time").cast("timestamp")).alias("due"))
+
+
 def _finish(query) -> None:
     query.awaitTermination()
 
@@ -43,11 +51,7 @@ def _finish(query) -> None:
 SELECT promise_id, CASE WHEN kept_at IS NOT NULL THEN 'KEPT' ELSE 'BROKEN' END AS status FROM prom, wm WHERE kept_at IS NOT NULL OR promise_date + 1 <= m - INTERVAL 1 HOUR"""))
 def _(spark: SparkSession, sf: str) -> DataFrame:
     """Promises resolved by the stream; a promise whose day the watermark has not passed stays open."""
-    ledger = lg.promise_ledger(spark, sf)
-    due = (F.date_add(F.col("created_at").cast("date"), lg.KEEP_DAYS + 1)).cast("timestamp")
-    events = ledger.select(
-        F.concat_ws("-", "promise_id", "seq").alias("event_id"), "promise_id", "status", F.col("event_time").cast("timestamp").alias("event_time"),
-        F.coalesce(due, F.col("event_time").cast("timestamp")).alias("due"))
+    events = _promise_events(spark, sf)
     path = _as_files(events, spark, "event_time", "ledger-stream")
     out, checkpoint = new_path(spark, "resolved"), new_path(spark, "resolved-checkpoint")
     stream = resolve_promises(logs.read_events(spark, path, events.schema, FILES))
@@ -55,6 +59,19 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(out).select("promise_id", "status")
 
 
+@R.query("stream_promise_out_of_order", with_sql(PROMISES, body="""
+, wm AS (SELECT max(coalesce(kept_at, created_at)) AS m FROM prom)
+SELECT promise_id, CASE WHEN kept_at IS NOT NULL THEN 'KEPT' ELSE 'BROKEN' END AS status FROM prom, wm WHERE kept_at IS NOT NULL OR promise_date + 1 <= m - INTERVAL 1 HOUR"""))
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """The same answer, once per promise, when updates overtake their promises and every event comes twice."""
+    events = _promise_events(spark, sf)
+    path = _as_files(events.filter("status <> 'PENDING'").unionByName(events), spark, "event_time", "ledger-late", parts=1)
+    out, checkpoint = new_path(spark, "resolved-late"), new_path(spark, "resolved-late-checkpoint")
+    stream = resolve_promises(logs.read_events(spark, path, events.schema, FILES))
+    _finish(stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out, format="parquet"))
+    return spark.read.schema(stream.schema).parquet(out).select("promise_id", "status")
+
+
 @R.query("stream_latest_feedback", with_sql(FEEDBACK, body="SELECT SK_ID_CURR, feedback_delta FROM fb"))
 def _(spark: SparkSession, sf: str) -> DataFrame:
     log = feedback_log(spark, sf)
@@ -78,8 +95,9 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 @R.query("stream_payments_per_account", """
 SELECT user_id AS account_id, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS paid, count(*) AS payments FROM events WHERE event_type = 'purchase' AND value > 0 GROUP BY 1""")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    pay = lg.payments(spark, sf)
-    path = _as_files(pay, spark, "paid_at", "payment-stream")
+    """Totals of a stream in which every payment is delivered twice."""
+    pay = lg.payments(spark, sf).withColumn("paid_at", F.col("paid_at").cast("timestamp"))
+    path = _as_files(pay.unionByName(pay), spark, "paid_at", "payment-stream")
     out, checkpoint = new_path(spark, "payment-totals"), new_path(spark, "payment-totals-checkpoint")
     _finish(logs.payments_per_account_stream(logs.read_events(spark, path, pay.schema, FILES), out, checkpoint))
     df = spark.read.parquet(out)

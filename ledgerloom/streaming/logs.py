@@ -37,9 +37,14 @@ def latest_of_epochs(spark: SparkSession, out: str, account: str) -> DataFrame:
     return df.groupBy(account).agg(F.max_by("feedback_delta", "epoch").alias("feedback_delta"))
 
 
-def payments_per_account_stream(payments: DataFrame, out: str, checkpoint: str, account: str = "account_id") -> StreamingQuery:
-    """Running total and count of positive payments per account, for reconciliation against balances."""
-    total = payments.filter(F.col("amount") > 0).groupBy(account).agg(F.sum("amount").alias("paid"), F.count(F.lit(1)).alias("payments"))
+def payments_per_account_stream(payments: DataFrame, out: str, checkpoint: str, account: str = "account_id", key: str = "payment_id", time: str = "paid_at", lateness: str = "1 hour") -> StreamingQuery:
+    """Running total and count of positive payments per account, for reconciliation against balances.
+
+    A payment delivered again within the lateness counts once. The totals are
+    one row of state per account; they have no end of life.
+    """
+    once = payments.withWatermark(time, lateness).dropDuplicatesWithinWatermark([key])
+    total = once.filter(F.col("amount") > 0).groupBy(account).agg(F.sum("amount").alias("paid"), F.count(F.lit(1)).alias("payments"))
 
     def save(batch: DataFrame, epoch: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")

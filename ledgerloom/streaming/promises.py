@@ -37,39 +37,48 @@ def _row(key: str, status: str, changed_us: int) -> pd.DataFrame:
     return pd.DataFrame({"promise_id": [key], "status": [status], "changed_at": [pd.Timestamp(changed_us, unit="us")]})
 
 
-def _advance(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    if state.hasTimedOut:
-        _, due_ms, _ = state.get
-        state.remove()
-        yield _row(key[0], "BROKEN", due_ms * 1000)
-        return
-    status, changed, due = _latest(frames)
-    if state.exists:
-        old_status, old_due, old_changed = state.get
-        due = old_due if due is None else due
-        if old_changed > changed:
-            status, changed = old_status, old_changed
-    if status != "PENDING":
-        # resolved: the state is dropped, so it does not grow with the history
-        if state.exists:
+def _advance(lateness_ms: int):
+    """Step of one promise. An update that comes before its promise waits for it as long as the lateness allows."""
+
+    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            status, due_ms, _ = state.get
             state.remove()
-        yield _row(key[0], status, changed)
-    elif due is not None and due <= state.getCurrentWatermarkMs():
+            if status == "PENDING":
+                yield _row(key[0], "BROKEN", due_ms * 1000)
+            return
+        status, changed, due = _latest(frames)
         if state.exists:
-            state.remove()
-        yield _row(key[0], "BROKEN", due * 1000)
-    else:
+            old_status, old_due, old_changed = state.get
+            due = old_due if due is None else due
+            if old_changed > changed or (old_changed == changed and old_status != "PENDING"):
+                status, changed = old_status, old_changed
+        watermark = state.getCurrentWatermarkMs()
+        if due is None:
+            # no promise yet: one that was resolved before is not resolved again
+            state.update((status, None, changed))
+            state.setTimeoutTimestamp(max(changed // 1000 + lateness_ms, watermark + 1))
+            return
+        if status != "PENDING" or due <= watermark:
+            # resolved: the state is dropped, so it does not grow with the history
+            if state.exists:
+                state.remove()
+            yield _row(key[0], status, changed) if status != "PENDING" else _row(key[0], "BROKEN", due * 1000)
+            return
         state.update((status, due, changed))
         state.setTimeoutTimestamp(due)
 
+    return step
+
 
-def resolve_promises(ledger: DataFrame, lateness: str = "1 hour") -> DataFrame:
-    """Resolved promises of a ledger stream: KEPT when an update says so, BROKEN when the day has passed.
+def resolve_promises(ledger: DataFrame, lateness_minutes: int = 60) -> DataFrame:
+    """Resolved promises of a ledger stream, one row each: KEPT when an update says so, BROKEN when the day has passed.
 
     ``ledger`` has ``event_id``, ``promise_id``, ``status``, ``event_time`` and
     ``due`` (the first moment after the promised day). Repeated deliveries of an
-    event inside the lateness are dropped. A quiet stream breaks nothing: time
-    moves with the events.
+    event inside the lateness are dropped; an update may come before its promise
+    inside the lateness, and an update of a promise that is broken by then adds
+    nothing. A quiet stream breaks nothing: time moves with the events.
     """
-    events = ledger.withWatermark("event_time", lateness).dropDuplicatesWithinWatermark(["event_id"])
-    return events.groupBy("promise_id").applyInPandasWithState(_advance, OUTPUT, STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    events = ledger.withWatermark("event_time", f"{lateness_minutes} minutes").dropDuplicatesWithinWatermark(["event_id"])
+    return events.groupBy("promise_id").applyInPandasWithState(_advance(lateness_minutes * 60_000), OUTPUT, STATE, "append", GroupStateTimeout.EventTimeTimeout)

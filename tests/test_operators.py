@@ -287,7 +287,7 @@ def test_account_lookup(spark):
 def test_routing_order(spark):
     df = spark.createDataFrame([("Check client 103380",), ("who to call today?",), ("total debt",), ("is it legal",), ("send sms",), ("ok",), ("98765",), ("good morning all",)], "t string")
     assert [r["label"] for r in routing.route(df, "t").collect()] == [
-        "ACCOUNT_LOOKUP", "TOP_PRIORITY_ACCOUNTS", "TOTAL_EXPECTED_RECOVERY", "REGULATORY_REPORT", "CHANNEL_BREAKDOWN", "HELP", "ACCOUNT_LOOKUP", "DEFAULT"]
+        "ACCOUNT_LOOKUP", "TOP_PRIORITY_ACCOUNTS", "TOTAL_EXPECTED_RECOVERY", "COBAC_REGULATORY_REPORT", "CHANNEL_BREAKDOWN", "HELP", "ACCOUNT_LOOKUP", "DEFAULT"]
 
 
 # ---- metrics and folds -------------------------------------------------------------------------
