@@ -4,7 +4,8 @@ Only suffixes that start at *anchors* are sorted. The anchor of a window of
 ``span`` bytes is the place of the least hash among its ``GRAM``-byte grams
 (leftmost of equal ones), so equal windows have their anchors at the same
 offset, and two windows can be equal only if their anchors share a gram. Anchors
-are grouped by the gram's hash; equal surroundings are one entry with a count.
+are grouped by the gram's hash; an anchor's surroundings are the bytes of the
+windows it stands for, and equal surroundings are one entry with a count.
 The suffixes of a group are ordered by multikey quicksort to a shallow depth, and
 groups that still agree there by blind tries. The sorted order with its common
 prefixes is merged from deep to shallow; each merge compares what lies to the
@@ -64,9 +65,13 @@ def gram_hashes(raw: np.ndarray, gram: int) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-def anchors(text: bytes, span: int = SPAN, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
-    """Places and gram hashes of the anchors of all windows of ``text``, in order."""
-    width, places, hashes = span - gram + 1, [], []
+def anchors(text: bytes, span: int = SPAN, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Places and gram hashes of the anchors of all windows of ``text``, and how far before its anchor a window begins, at least and at most.
+
+    Neighbouring windows that have the same anchor are one entry. A text of more
+    than one piece may give an anchor two entries, for different windows.
+    """
+    width, parts = span - gram + 1, []
     for begin in range(0, len(text) - span + 1, _PIECE):
         raw = np.frombuffer(text[begin : begin + _PIECE + span - 1], np.uint8)
         h = gram_hashes(raw, gram)
@@ -77,18 +82,18 @@ def anchors(text: bytes, span: int = SPAN, gram: int = GRAM) -> tuple[np.ndarray
         tail = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
         windows = len(key) - width + 1
         least = np.minimum(tail[:windows], head[width - 1 : width - 1 + windows])
-        at = np.unique((least[np.append(True, least[1:] != least[:-1])] & _LOW).astype(np.int64))
-        places.append(at + begin)
-        hashes.append(h[at])
-    if not places:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    place, where = np.unique(np.concatenate(places), return_index=True)
-    return place, np.concatenate(hashes)[where]
+        first = np.flatnonzero(np.append(True, least[1:] != least[:-1]))
+        last = np.append(first[1:], windows) - 1
+        at = (least[first] & _LOW).astype(np.int64)
+        parts.append((at + begin, h[at], at - last, at - first))
+    if not parts:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return tuple(np.concatenate(x) for x in zip(*parts))
 
 
-def surroundings(text: bytes, at: int, span: int = SPAN, gram: int = GRAM) -> tuple[bytes, bytes]:
-    """What lies left of an anchor, reversed, and right of it, as far as a window can reach."""
-    return text[max(0, at - span + gram) : at][::-1], text[at : at + span]
+def surroundings(text: bytes, at: int, low: int, high: int, span: int = SPAN) -> tuple[bytes, bytes]:
+    """What lies left of an anchor, reversed, and right of it, over the windows it stands for."""
+    return text[at - high : at][::-1], text[at : at - low + span]
 
 
 # ---- sorting suffixes --------------------------------------------------------------------------
@@ -131,7 +136,7 @@ def blind_trie_order(suffixes: list[bytes], which: list[int]) -> tuple[list[int]
             below = suffixes[node[2]]
             node[:] = [shared, {below[shared] if shared < len(below) else -1: node[:], c: [len(s), None, i]}, node[2]]
         equal[i] = [i]
-    order, prefix, todo, depth = [], [], [(root, 0)], 0
+    order, prefix, todo = [], [], [(root, 0)]
     while todo:
         node, shared = todo.pop()
         if node[1] is None:
@@ -150,7 +155,7 @@ def deep_shallow_order(suffixes: list[bytes], depth: int = 0, shallow: int = SHA
     prefix: list[int] = []
     limit = depth + shallow
     # entries: the suffixes, the depth they share, and the common prefix of the first of them with what comes before
-    todo = [(list(range(len(suffixes))), depth, 0)]
+    todo = [(list(range(len(suffixes))), depth, 0)] if suffixes else []
     while todo:
         part, at, before = todo.pop()
         if len(part) == 1:
@@ -245,34 +250,34 @@ def _of_row(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
 
 
 def anchor_rows(rows: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
-    """Key, ``place``, ``g`` (hash of the gram) and ``c`` (hash of the surroundings) of every anchor."""
+    """Key, ``place``, ``low``, ``high``, ``g`` (hash of the gram) and ``c`` (hash of the surroundings) of every anchor."""
 
     def make():
         digest = xxhash.xxh3_64_intdigest
 
         def run(batch: dict) -> list:
-            out: list[list] = [[], [], [], [], []]
+            out: list[list] = [[] for _ in range(7)]
             for i, k, t in zip(batch["_id"], batch["_h"], batch["_txt"]):
                 raw = t.encode()
-                at, h = anchors(raw, span, gram)
-                places = at.tolist()
-                out[0] += [i] * len(places)
-                out[1] += [k] * len(places)
-                out[2] += places
-                out[3] += h.view(np.int64).tolist()
-                out[4] += [digest(raw[max(0, p - span + gram) : p + span], seed=min(p, span - gram)) - (1 << 63) for p in places]
+                at, h, low, high = anchors(raw, span, gram)
+                found = at.tolist(), low.tolist(), high.tolist()
+                out[0] += [i] * len(at)
+                out[1] += [k] * len(at)
+                for o, x in zip(out[2:6], (*found, h.view(np.int64).tolist())):
+                    o += x
+                out[6] += [digest(raw[p - b : p - a + span], seed=b) - (1 << 63) for p, a, b in zip(*found)]
             return out
 
         return run
 
     long_enough = rows.filter(F.octet_length("_txt") >= span).select("_id", "_h", "_txt")
     kind = long_enough.schema["_id"].dataType.simpleString()
-    return map_batches(long_enough, make, f"_id {kind}, _h bigint, place bigint, g bigint, c bigint")
+    return map_batches(long_enough, make, f"_id {kind}, _h bigint, place bigint, low int, high int, g bigint, c bigint")
 
 
-def _with_surroundings(wanted: DataFrame, rows: DataFrame, span: int, gram: int) -> DataFrame:
-    """The anchors of ``wanted`` (key, place, g, c) with their surroundings ``l`` (reversed) and ``r``."""
-    per_row = wanted.groupBy("_id", "_h").agg(F.collect_list(F.struct("place", "g", "c")).alias("_at"))
+def _with_surroundings(wanted: DataFrame, rows: DataFrame, span: int) -> DataFrame:
+    """The anchors of ``wanted`` (key, place, low, high, g, c) with their surroundings ``l`` (reversed) and ``r``."""
+    per_row = wanted.groupBy("_id", "_h").agg(F.collect_list(F.struct("place", "low", "high", "g", "c")).alias("_at"))
 
     def make():
         def run(batch: dict) -> list:
@@ -280,7 +285,7 @@ def _with_surroundings(wanted: DataFrame, rows: DataFrame, span: int, gram: int)
             for t, at in zip(batch["_txt"], batch["_at"]):
                 raw = t.encode()
                 for a in at:
-                    for o, x in zip(out, (a["g"], a["c"], *surroundings(raw, a["place"], span, gram))):
+                    for o, x in zip(out, (a["g"], a["c"], *surroundings(raw, a["place"], a["low"], a["high"], span))):
                         o.append(x)
             return out
 
@@ -329,74 +334,81 @@ def _sorted_groups(entries: DataFrame, span: int, gram: int) -> DataFrame:
     return map_batches(entries.repartition("g").sortWithinPartitions("g"), make, "g bigint, c bigint, l int, r int", last=True)
 
 
-def _counted_windows(entries: DataFrame, span: int, gram: int) -> DataFrame:
-    """The same for groups too large to sort in one task: windows are counted, whole ranges of them at a time.
+#: Windows in a range that is counted whole, and what an undecided range is split into, down to single windows.
+RANGES = (16, 4, 1)
+
+
+def _counted_windows(entries: DataFrame, span: int) -> DataFrame:
+    """The same for groups too large to sort in one task: windows are counted, ranges of them at a time.
 
-    A range holds the windows that begin ``low`` to ``high`` bytes before the
-    anchor. If no other entry has the range's core (the bytes common to all its
-    windows), none of them is shared; if another has its hull (all their bytes),
-    every one is. Other ranges are halved. An entry whose windows are settled
-    stays, one for each hull, for others to be compared with. Counts are
-    aggregated before they are shuffled, so a hot group spreads over all tasks.
+    A range holds the windows that begin ``low`` to ``low + width - 1`` bytes
+    before the anchor. If no other entry has the range's core (the bytes common
+    to all its windows), none of them is shared; if another has its hull (all
+    their bytes), every one is. Other ranges are split. Of entries with the same
+    hull one stays for others to be compared with. Counts are aggregated before
+    they are shuffled, so a hot group spreads over all tasks.
     """
-    spark = entries.sparkSession
 
-    def hashes():
-        def run(batch: dict) -> list:
-            core, hull = [], []
-            for left, right, low, high in zip(batch["l"], batch["r"], batch["low"], batch["high"]):
-                n, text = len(left), left[::-1] + right
-                core.append(xxhash.xxh3_128_hexdigest(text[n - low : n - high + span]))
-                whole = high <= n and len(right) >= span - low
-                hull.append(xxhash.xxh3_128_hexdigest(text[n - high : n - low + span]) if whole else None)
-            return [*(batch[k] for k in ("g", "c", "l", "r", "low", "high", "done")), core, hull]
+    def hashed(open_: DataFrame, width: int) -> DataFrame:
+        """Core and hull of the ranges of ``width`` within ``low`` to ``high`` of each row; all entries cut them at the same places."""
+
+        def make():
+            digest = xxhash.xxh3_128_digest
+
+            def run(batch: dict) -> list:
+                out: list[list] = [[] for _ in range(9)]
+                for g, c, left, right, low, high, done in zip(*(batch[k] for k in ("g", "c", "l", "r", "low", "high", "done"))):
+                    n, text = len(left), left[::-1] + right
+                    least, most = max(low, span - len(right)), min(high, n)
+                    for a in range(least // width * width, most + 1, width):
+                        b = a + width - 1
+                        whole = least <= a and b <= most
+                        row = (g, c, left, right, a, b, done, digest(text[n - a : n - b + span]), digest(text[n - b : n - a + span]) if whole else None)
+                        for o, x in zip(out, row):
+                            o.append(x)
+                return out
 
-        return run
+            return run
+
+        return map_batches(open_, make, "g bigint, c bigint, l binary, r binary, low int, high int, done boolean, core binary, hull binary")
 
-    shape = "g bigint, c bigint, l binary, r binary, low int, high int, done boolean"
-    with_hashes = f"{shape}, core string, hull string"
-    has_window = (F.col("low") <= F.length("l")) & (F.col("high") >= span - F.length("r"))
-    ranges = entries.select("g", "c", "l", "r", F.lit(0).alias("low"), F.lit(span - gram).alias("high"), F.lit(False).alias("done")).filter(has_window)
+    open_ = entries.select("g", "c", "l", "r", F.lit(0).alias("low"), F.lit(span).alias("high"), F.lit(False).alias("done"))
     decided = []
-    while True:
-        now = materialize(map_batches(ranges, hashes, with_hashes), "ranges")
-        if not now.take(1):
+    for width in RANGES:
+        now = materialize(hashed(open_, width), "ranges")
+        # only what occurs twice is joined, so most ranges end here
+        cores = now.groupBy("g", "low", "core").agg(F.count("*").alias("n_core")).filter("n_core > 1").drop("n_core")
+        hulls = now.filter("hull is not null").groupBy("g", "low", "hull").agg(F.count("*").alias("n_hull"), F.min("c").alias("first")).filter("n_hull > 1")
+        if width == 1:
+            decided.append(now.filter("not done").join(cores, ["g", "low", "core"], "left_semi").select("g", "c", "low", "high"))
             break
-        cores = now.groupBy("g", "low", "high", "core").agg(F.count("*").alias("n_core")).filter("n_core > 1")
-        hulls = now.filter("hull is not null").groupBy("g", "low", "high", "hull").agg(F.count("*").alias("n_hull"), F.min("c").alias("first"))
-        both = now.join(cores, ["g", "low", "high", "core"]).join(hulls, ["g", "low", "high", "hull"], "left")
-        shared = F.col("done") | (F.coalesce("n_hull", F.lit(1)) > 1)
-        judged = materialize(both.select("g", "c", "l", "r", "low", "high", "done", shared.alias("shared"), (F.col("first") == F.col("c")).alias("stays")), "ranges-judged")
+        both = now.join(cores, ["g", "low", "core"], "left_semi").join(hulls, ["g", "low", "hull"], "left")
+        shared = F.col("done") | F.col("first").isNotNull()
+        judged = materialize(both.select("g", "c", "l", "r", "low", "high", "done", shared.alias("shared"), F.coalesce(F.col("first") == F.col("c"), F.lit(True)).alias("stays")), "ranges-judged")
         decided.append(judged.filter("shared and not done").select("g", "c", "low", "high"))
-        middle = F.floor((F.col("low") + F.col("high")) / 2).cast("int")
-        halves = F.explode(F.array(F.struct(F.col("low").alias("a"), middle.alias("b")), F.struct((middle + 1).alias("a"), F.col("high").alias("b"))))
-        open_ = judged.filter("low < high and (not shared or stays)").select("g", "c", "l", "r", "shared", halves.alias("h"))
-        ranges = open_.select("g", "c", "l", "r", F.col("h.a").alias("low"), F.col("h.b").alias("high"), F.col("shared").alias("done")).filter(has_window)
-    if not decided:
-        return spark.createDataFrame([], "g bigint, c bigint, l int, r int")
-    every = decided[0]
-    for d in decided[1:]:
-        every = every.union(d)
-    # an end of a range may lie beyond a text's own end; the caller cuts reaches to the text
+        open_ = judged.filter("not shared or stays").select("g", "c", "l", "r", "low", "high", F.col("shared").alias("done"))
+    every = decided[0].union(decided[1]).union(decided[2])
     return every.groupBy("g", "c").agg(F.max("high").alias("l"), (span - F.min("low")).cast("int").alias("r"))
 
 
 def shared_stretches(rows: DataFrame, span: int = SPAN, gram: int = GRAM, group_rows: int = GROUP_ROWS) -> DataFrame:
     """Key, and ``stretches`` (start, end; bytes) of the row's text that together are all bytes of repeated windows."""
-    anchors_ = materialize(anchor_rows(rows, span, gram), "anchors")
-    one = F.min(F.struct("_id", "_h", "place")).alias("at")
-    per_surrounding = anchors_.groupBy("g", "c").agg(F.count("*").alias("n"), one)
+    found = materialize(anchor_rows(rows, span, gram), "anchors")
+    per_surrounding = found.groupBy("g", "c").agg(F.count("*").alias("n"), F.min(F.struct("_id", "_h", "place", "low", "high")).alias("at"))
     per_gram = per_surrounding.groupBy("g").agg(F.count("*").alias("_size")).filter("_size > 1")
-    wanted = materialize(per_surrounding.join(per_gram, "g").select("g", "c", "n", "_size", "at.*"), "surroundings")
-    repeated = anchors_.groupBy("g", "c").agg(F.count("*").alias("n")).filter("n > 1").select("g", "c", F.lit(span).alias("l"), F.lit(span).alias("r"))
-    entries = _with_surroundings(wanted.filter(F.col("_size") <= group_rows), rows, span, gram)
+    wanted = materialize(per_surrounding.join(per_gram, "g").select("g", "c", "_size", "at.*"), "surroundings")
+    repeated = found.groupBy("g", "c").agg(F.count("*").alias("n")).filter("n > 1").select("g", "c", F.lit(span).alias("l"), F.lit(span).alias("r"))
+    entries = _with_surroundings(wanted.filter(F.col("_size") <= group_rows), rows, span)
     reaches = _sorted_groups(entries, span, gram).union(repeated)
     large = wanted.filter(F.col("_size") > group_rows)
     if large.take(1):
-        reaches = reaches.union(_counted_windows(_with_surroundings(large, rows, span, gram).dropDuplicates(["g", "c"]), span, gram))
+        reaches = reaches.union(_counted_windows(_with_surroundings(large, rows, span).dropDuplicates(["g", "c"]), span))
     best = reaches.groupBy("g", "c").agg(F.max("l").alias("l"), F.max("r").alias("r"))
-    found = anchors_.join(best, ["g", "c"]).select("_id", "_h", F.struct(F.greatest(F.col("place") - F.least("l", F.lit(span - gram)), F.lit(0)).alias("start"), (F.col("place") + F.col("r")).alias("end")).alias("s"))
-    return found.groupBy("_id", "_h").agg(F.collect_list("s").alias("stretches"))
+    # a reach ends where the windows of the anchor end
+    begin = F.col("place") - F.least("l", "high")
+    end = F.col("place") + F.least("r", span - F.col("low"))
+    stretches = found.join(best, ["g", "c"]).select("_id", "_h", F.struct(begin.alias("start"), end.alias("end")).alias("s"))
+    return stretches.groupBy("_id", "_h").agg(F.collect_list("s").alias("stretches"))
 
 
 def remove_repeats(docs: DataFrame, ident: str = "doc_id", text: str = "text", keep: list[str] | None = None, span: int = SPAN, gram: int = GRAM, group_rows: int = GROUP_ROWS, with_text: bool = False) -> DataFrame:
