@@ -317,3 +317,48 @@ def test_search_draws_repeat_and_resume(spark):
     assert models.draw_parameters(3) == models.draw_parameters(3) != models.draw_parameters(4)
     done = spark.createDataFrame([(0,), (2,)], "number bigint")
     assert models.remaining_trials(done, spark, 4) == [1, 3]
+
+
+# ---- repaired cases ----------------------------------------------------------------------------
+
+def test_missing_probability_has_no_value(spark):
+    df = spark.createDataFrame([(None, 5000.0), (0.5, 5000.0)], "p double, a double")
+    out = [r[0] for r in df.select(dec.channel_value(F.col("p"), F.col("a"), 50.0, 1.0).alias("v")).collect()]
+    assert out == [None, 2450.0]
+
+
+def test_payments_of_two_loans(spark):
+    bal = spark.createDataFrame([(1, 1, 100.0), (1, 2, 80.0), (2, 1, 50.0)], "account_id int, loan int, b double").select("account_id", "loan", F.col("b").cast("decimal(18,2)").alias("balance_due"))
+    pay = spark.createDataFrame([(1, 2, "60", "a", day(1)), (2, 1, "x", "b", day(1)), (2, 1, "-5", "c", day(1)), (9, 1, "5", "d", day(1))], "account_id int, loan int, amount string, payment_id string, paid_at date")
+    out = dec.reconcile(bal, pay, ["account_id", "loan"]).collect()
+    assert [(r["payment_id"], float(r["due_before"]), float(r["due_after"])) for r in out] == [("a", 80.0, 20.0)]
+    assert rows(dec.reconcile_rejects(bal, pay, ["account_id", "loan"]), "payment_id", "reject_rule") == [("b", "unreadable_amount"), ("c", "amount_not_positive"), ("d", "unknown_account")]
+    assert rows(dec.reconcile_rejects(bal, pay), "payment_id", "reject_rule")[0] == ("a", "ambiguous_account")
+    assert dec.reconcile(bal, pay).count() == 0
+
+
+def test_strict_settlement_of_a_hot_account(spark):
+    prom = spark.createDataFrame([(f"p{i}", 1, "PENDING", day(i), 30.0, "") for i in range(6)] + [("q", 2, "PENDING", day(9), 1.0, "")], "promise_id string, account_id int, status string, promise_date date, amount_fcfa double, resolution_note string")
+    pay = spark.createDataFrame([(1, str(10), f"{i}", day(i)) for i in range(1, 5)], "account_id int, amount string, payment_id string, paid_at date")
+    assert rows(dec.settle_promises(prom, pay, require_full=True), "promise_id", "status") == [
+        ("p0", "PENDING"), ("p1", "PENDING"), ("p2", "PENDING"), ("p3", "KEPT"), ("p4", "KEPT"), ("p5", "KEPT"), ("q", "PENDING")]
+
+
+def test_short_history_is_an_error(spark):
+    df = spark.createDataFrame([(day(i),) for i in range(5)], "d date")
+    with pytest.raises(Exception, match="5 folds need at least 6 days"):
+        date_folds(df, "d").collect()
+    assert date_folds(df, "d", 4).count() == 5
+
+
+def test_models_fit_on_a_small_frame(spark):
+    r = random.Random(1)
+    data = [(i, i // 4, r.gauss(i % 2, 0.6), float(i % 2), i % 2, float(5 + i % 7), 0.5 + (i % 5) / 10) for i in range(160)]
+    df = spark.createDataFrame(data, "SK_ID_PREV int, SK_ID_CURR int, x double, y double, recovered int, days_to_cure double, paid_share double")
+    fitted = models.fit_recovery_models(df, ["x"], ["days_to_cure"], (2, 2, 2))
+    out = models.predict_recovery(df, fitted).collect()
+    assert all(0 <= o["recovery_probability"] <= 1 and 1 <= o["estimated_days_to_cure"] <= 30 and 0.35 <= o["partial_recovery_ratio"] <= 1 for o in out)
+    kept, broken = ([o["recovery_probability"] for o in out if o["recovered"] == k] for k in (1, 0))
+    assert sum(kept) / len(kept) > sum(broken) / len(broken)
+    with pytest.raises(ValueError):
+        models.fit_recovery_models(df, ["x", "days_to_cure"], ["days_to_cure"], (1, 1, 1))
