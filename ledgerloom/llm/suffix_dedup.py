@@ -250,7 +250,11 @@ def _of_row(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
 
 
 def anchor_rows(rows: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
-    """Key, ``place``, ``low``, ``high``, ``g`` (hash of the gram) and ``c`` (hash of the surroundings) of every anchor."""
+    """Key, ``places``, ``low``, ``high``, ``g`` (hash of the gram) and ``c`` (hash of the surroundings) of all anchors.
+
+    Anchors of a text with equal surroundings are one row, so a text that repeats
+    itself does not send a row for each repeat.
+    """
 
     def make():
         digest = xxhash.xxh3_64_intdigest
@@ -260,19 +264,19 @@ def anchor_rows(rows: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFram
             for i, k, t in zip(batch["_id"], batch["_h"], batch["_txt"]):
                 raw = t.encode()
                 at, h, low, high = anchors(raw, span, gram)
-                found = at.tolist(), low.tolist(), high.tolist()
-                out[0] += [i] * len(at)
-                out[1] += [k] * len(at)
-                for o, x in zip(out[2:6], (*found, h.view(np.int64).tolist())):
-                    o += x
-                out[6] += [digest(raw[p - b : p - a + span], seed=b) - (1 << 63) for p, a, b in zip(*found)]
+                alike: dict[tuple, list[int]] = {}
+                for p, a, b, g in zip(at.tolist(), low.tolist(), high.tolist(), h.view(np.int64).tolist()):
+                    alike.setdefault((a, b, g, digest(raw[p - b : p - a + span], seed=b) - (1 << 63)), []).append(p)
+                for (a, b, g, c), places in alike.items():
+                    for o, x in zip(out, (i, k, places, a, b, g, c)):
+                        o.append(x)
             return out
 
         return run
 
     long_enough = rows.filter(F.octet_length("_txt") >= span).select("_id", "_h", "_txt")
     kind = long_enough.schema["_id"].dataType.simpleString()
-    return map_batches(long_enough, make, f"_id {kind}, _h bigint, place bigint, low int, high int, g bigint, c bigint")
+    return map_batches(long_enough, make, f"_id {kind}, _h bigint, places array<bigint>, low int, high int, g bigint, c bigint")
 
 
 def _with_surroundings(wanted: DataFrame, rows: DataFrame, span: int) -> DataFrame:
@@ -394,10 +398,11 @@ def _counted_windows(entries: DataFrame, span: int) -> DataFrame:
 def shared_stretches(rows: DataFrame, span: int = SPAN, gram: int = GRAM, group_rows: int = GROUP_ROWS) -> DataFrame:
     """Key, and ``stretches`` (start, end; bytes) of the row's text that together are all bytes of repeated windows."""
     found = materialize(anchor_rows(rows, span, gram), "anchors")
-    per_surrounding = found.groupBy("g", "c").agg(F.count("*").alias("n"), F.min(F.struct("_id", "_h", "place", "low", "high")).alias("at"))
+    n = F.sum(F.size("places"))
+    per_surrounding = found.groupBy("g", "c").agg(F.min(F.struct("_id", "_h", F.get("places", F.lit(0)).alias("place"), "low", "high")).alias("at"))
     per_gram = per_surrounding.groupBy("g").agg(F.count("*").alias("_size")).filter("_size > 1")
     wanted = materialize(per_surrounding.join(per_gram, "g").select("g", "c", "_size", "at.*"), "surroundings")
-    repeated = found.groupBy("g", "c").agg(F.count("*").alias("n")).filter("n > 1").select("g", "c", F.lit(span).alias("l"), F.lit(span).alias("r"))
+    repeated = found.groupBy("g", "c").agg(n.alias("n")).filter("n > 1").select("g", "c", F.lit(span).alias("l"), F.lit(span).alias("r"))
     entries = _with_surroundings(wanted.filter(F.col("_size") <= group_rows), rows, span)
     reaches = _sorted_groups(entries, span, gram).union(repeated)
     large = wanted.filter(F.col("_size") > group_rows)
@@ -405,10 +410,9 @@ def shared_stretches(rows: DataFrame, span: int = SPAN, gram: int = GRAM, group_
         reaches = reaches.union(_counted_windows(_with_surroundings(large, rows, span).dropDuplicates(["g", "c"]), span))
     best = reaches.groupBy("g", "c").agg(F.max("l").alias("l"), F.max("r").alias("r"))
     # a reach ends where the windows of the anchor end
-    begin = F.col("place") - F.least("l", "high")
-    end = F.col("place") + F.least("r", span - F.col("low"))
-    stretches = found.join(best, ["g", "c"]).select("_id", "_h", F.struct(begin.alias("start"), end.alias("end")).alias("s"))
-    return stretches.groupBy("_id", "_h").agg(F.collect_list("s").alias("stretches"))
+    before, after = F.least("l", "high"), F.least("r", span - F.col("low"))
+    stretches = found.join(best, ["g", "c"]).select("_id", "_h", F.transform("places", lambda p: F.struct((p - before).alias("start"), (p + after).alias("end"))).alias("s"))
+    return stretches.groupBy("_id", "_h").agg(F.flatten(F.collect_list("s")).alias("stretches"))
 
 
 def remove_repeats(docs: DataFrame, ident: str = "doc_id", text: str = "text", keep: list[str] | None = None, span: int = SPAN, gram: int = GRAM, group_rows: int = GROUP_ROWS, with_text: bool = False) -> DataFrame:
