@@ -20,7 +20,8 @@ WINDOW = 13
 GRAM = 8
 #: A document is contaminated if at least one of so many of its words is hit.
 SHARE = 20
-WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: What stands between words, once A-Z are in lower case.
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Low bits of a key that hold a position.
 _POSITION_BITS = 31
@@ -28,7 +29,7 @@ _POSITION_BITS = 31
 
 def words_of(text: Column) -> Column:
     """Words of the whole text, A-Z in lower case; NULL has none."""
-    return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), F.lit(WORDS), F.lit(0))
+    return F.array_remove(F.split(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), BETWEEN), "")
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -37,23 +38,28 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def fingerprints(words: Column, window: int, gram: int) -> Column:
-    """Array of (fp, pos) of the winnowed grams; positions count from 1. Empty for texts of fewer words than ``window``."""
+    """Array of (fp, pos) of the winnowed grams; positions count from 1. Empty for texts of fewer words than ``window``.
+
+    A key has the high bits of a gram's hash above its position, so the least key
+    of a stretch is its leftmost gram of least hash. Items are read one by one
+    rather than cut out as arrays, which costs half.
+    """
     width = window - gram + 1
 
-    def keyed(w: Column) -> Column:
-        hashes = F.transform(F.sequence(F.lit(1), F.size(w) - gram + 1), lambda i: F.xxhash64(F.slice(w, i, F.lit(gram))))
-        return let(hashes, chosen)
+    def hashed(w: Column, i: Column) -> Column:
+        return F.xxhash64(*(F.get(w, i + j) for j in range(gram)))
 
-    def chosen(h: Column) -> Column:
+    def chosen(w: Column) -> Column:
         high = F.lit(-1 << _POSITION_BITS)
-        keys = F.transform(h, lambda x, i: x.bitwiseAND(high).bitwiseOR(i.cast("bigint")))
-        least = keys if width == 1 else let(keys, lambda k: F.transform(F.sequence(F.lit(1), F.size(k) - width + 1), lambda i: F.array_min(F.slice(k, i, F.lit(width)))))
+        places = F.sequence(F.lit(0), F.size(w) - gram)
+        keys = F.transform(places, lambda i: hashed(w, i).bitwiseAND(high).bitwiseOR(i.cast("bigint")))
+        least = keys if width == 1 else let(keys, lambda k: F.transform(F.sequence(F.lit(0), F.size(k) - width), lambda i: F.least(*(F.get(k, i + j) for j in range(width)))))
         fresh = let(least, lambda m: F.filter(m, lambda x, i: (i == 0) | (F.get(m, i - 1) != x)))
         place = lambda x: x.bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)).cast("int")
-        return F.transform(fresh, lambda x: F.struct(F.get(h, place(x)).alias("fp"), (place(x) + 1).alias("pos")))
+        return F.transform(fresh, lambda x: F.struct(hashed(w, place(x)).alias("fp"), (place(x) + 1).alias("pos")))
 
     empty = F.array().cast("array<struct<fp:bigint,pos:int>>")
-    return let(words, lambda w: F.when(F.size(w) >= window, keyed(w)).otherwise(empty))
+    return let(words, lambda w: F.when(F.size(w) >= window, chosen(w)).otherwise(empty))
 
 
 def windows_of(words: Column, window: int) -> Column:
@@ -69,22 +75,47 @@ def item_windows(items: DataFrame, ident: str, text: str, window: int = WINDOW)
     return long.union(short).distinct()
 
 
-def _hits(docs: DataFrame, windows: DataFrame, length: int, gram: int) -> DataFrame:
-    """Key, ``start``, ``len`` and ``win`` of every place in a document where an item's window of ``length`` words occurs."""
-    k = min(gram, length)
-    width = length - k + 1
-    wanted = windows.filter(F.col("len") == length).select("win").distinct()
-    marks = wanted.select(F.explode(fingerprints(F.split("win", " "), length, k)).alias("f")).select("f.fp").distinct()
-    found = docs.select("_id", "_h", F.explode(fingerprints(words_of(F.col("_txt")), length, k)).alias("f")).select("_id", "_h", "f.*").join(marks, "fp", "left_semi")
-    per_doc = found.groupBy("_id", "_h").agg(F.collect_set("pos").alias("at")).withColumnsRenamed({"_id": "_rid", "_h": "_rh"})
+def _marked(docs: DataFrame, windows: DataFrame, lengths: list[int], gram: int) -> DataFrame:
+    """Key, ``len`` and ``pos`` of every fingerprint that an item has too, and for each document a row with ``len`` 0 whose ``pos`` is its number of words.
+
+    One pass over the texts, whatever the number of window lengths.
+    """
+    marks = None
+    for n in lengths:
+        wanted = windows.filter(F.col("len") == n).select(F.explode(fingerprints(F.split("win", " "), n, min(gram, n))).alias("f")).select("f.fp", F.lit(n).alias("len"))
+        marks = wanted if marks is None else marks.union(wanted)
+
+    def of_length(w: Column, n: int) -> Column:
+        return F.transform(fingerprints(w, n, min(gram, n)), lambda f: F.struct(f["fp"].alias("fp"), F.lit(n).alias("len"), f["pos"].alias("pos")))
+
+    def all_of(w: Column) -> Column:
+        size = F.array(F.struct(F.lit(None).cast("bigint").alias("fp"), F.lit(0).alias("len"), F.size(w).alias("pos")))
+        return F.concat(size, *(of_length(w, n) for n in lengths))
+
+    spread = docs.select("_id", "_h", F.explode(let(words_of(F.col("_txt")), all_of)).alias("f")).select("_id", "_h", "f.*")
+    if marks is None:
+        return spread.drop("fp")
+    known = marks.distinct().withColumnsRenamed({"fp": "_fp", "len": "_len"})
+    joined = spread.join(known, (spread["fp"] == known["_fp"]) & (spread["len"] == known["_len"]), "left")
+    return joined.filter("_fp is not null or len = 0").select("_id", "_h", "len", "pos")
+
+
+def _extended(docs: DataFrame, marked: DataFrame, windows: DataFrame, lengths: list[int], gram: int) -> DataFrame:
+    """Key, ``start``, ``len`` and ``win`` of every window of an item found around a mark, compared word by word."""
+    per_doc = marked.filter("len > 0").groupBy("_id", "_h").agg(F.collect_set(F.struct("len", "pos")).alias("at")).withColumnsRenamed({"_id": "_rid", "_h": "_rh"})
     texts = docs.join(per_doc, docs["_id"].eqNullSafe(per_doc["_rid"]) & (docs["_h"] == per_doc["_rh"]), "inner")
 
+    def of_length(w: Column, n: int) -> Column:
+        width = n - min(gram, n) + 1
+        places = F.filter("at", lambda x: x["len"] == n)
+        starts = F.flatten(F.transform(places, lambda x: F.sequence(F.greatest(F.lit(1), x["pos"] - width + 1), F.least(x["pos"], F.size(w) - n + 1))))
+        return F.transform(F.array_distinct(starts), lambda s: F.struct(s.alias("start"), F.lit(n).alias("len"), F.array_join(F.slice(w, s, F.lit(n)), " ").alias("win")))
+
     def around(w: Column) -> Column:
-        starts = F.flatten(F.transform("at", lambda p: F.sequence(F.greatest(F.lit(1), p - width + 1), F.least(p, F.size(w) - length + 1))))
-        return F.transform(F.array_distinct(starts), lambda s: F.struct(s.alias("start"), F.array_join(F.slice(w, s, F.lit(length)), " ").alias("win")))
+        return F.concat(*(of_length(w, n) for n in lengths))
 
-    extended = texts.select("_id", "_h", F.explode(let(words_of(F.col("_txt")), around)).alias("x")).select("_id", "_h", "x.*")
-    return extended.join(wanted, "win", "left_semi").select("_id", "_h", "start", F.lit(length).alias("len"), "win")
+    spread = texts.select("_id", "_h", F.explode(let(words_of(F.col("_txt")), around)).alias("x")).select("_id", "_h", "x.*")
+    return spread.join(windows.select("win", "len").distinct(), ["win", "len"], "left_semi").select("_id", "_h", "start", "len", "win")
 
 
 def contamination(docs: DataFrame, items: DataFrame, ident: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", keep: list[str] | None = None, window: int = WINDOW, gram: int = GRAM, share: int = SHARE) -> DataFrame:
@@ -102,14 +133,12 @@ def contamination(docs: DataFrame, items: DataFrame, ident: str = "doc_id", text
     lengths = sorted(r[0] for r in windows.select("len").distinct().collect())  # ``window`` lengths at most
     key = ["_id", "_h"]
     texts = rows.select(*key, "_txt")
-    parts = [_hits(texts, windows, n, gram) for n in lengths]
-    if not parts:
-        hits = docs.sparkSession.createDataFrame([], f"_id {rows.schema['_id'].dataType.simpleString()}, _h bigint, start int, len int, win string")
+    marked = materialize(_marked(texts, windows, lengths, gram), "marked")
+    n_words = marked.filter("len = 0").groupBy(*key).agg(F.max("pos").alias("n_words"))
+    if lengths:
+        hits = materialize(_extended(texts, marked, windows, lengths, gram).distinct(), "hits")
     else:
-        hits = parts[0]
-        for p in parts[1:]:
-            hits = hits.union(p)
-    hits = materialize(hits.distinct(), "hits")
+        hits = marked.limit(0).select(*key, F.lit(0).alias("start"), "len", F.lit("").alias("win"))
     # the words covered: windows in order of their start, each adding what lies beyond those before
     covered = F.aggregate(
         F.sort_array(F.collect_set(F.struct("start", "len"))), F.struct(F.lit(0).alias("n"), F.lit(1).alias("reach")),
@@ -117,13 +146,13 @@ def contamination(docs: DataFrame, items: DataFrame, ident: str = "doc_id", text
         lambda a: a["n"])
     per_doc = hits.groupBy(*key).agg(covered.alias("n_hit"))
     named = hits.select(*key, "win").distinct().join(windows.select("item", "win"), "win").groupBy(*key).agg(F.sort_array(F.collect_set("item")).alias("items"))
-    counted = rows.select(*own, *key, F.coalesce(F.regexp_count(F.translate("_txt", UPPER, LOWER), F.lit(WORDS)), F.lit(0)).alias("n_words"))
-
     def with_key(left: DataFrame, right: DataFrame) -> DataFrame:
         r = right.withColumnsRenamed({"_id": "_rid", "_h": "_rh"})
         return left.join(r, left["_id"].eqNullSafe(r["_rid"]) & (left["_h"] == r["_rh"]), "left").drop("_rid", "_rh")
 
-    joined = with_key(with_key(counted, per_doc), named)
+    # three small tables of the same key, put together before they meet the documents
+    results = with_key(with_key(n_words, per_doc), named)
+    joined = with_key(rows.drop("_txt"), results)
     n_words, n_hit = F.col("n_words").cast("bigint"), F.coalesce("n_hit", F.lit(0)).cast("bigint")
     found = F.coalesce("items", F.array().cast("array<string>"))
     return joined.select(
