@@ -56,11 +56,6 @@ def flag_missing(df: DataFrame, known: DataFrame, key: str, flag: str) -> DataFr
     return df.join(keys, key, "left").withColumn(flag, F.col("_known").isNull()).drop("_known")
 
 
-def earlier_only(events: DataFrame, history: DataFrame, on, event_day: str, history_day: str) -> DataFrame:
-    """Equi-join that keeps only history strictly before the event (point in time)."""
-    return events.join(history, _keys(on), "inner").filter(F.col(history_day) < F.col(event_day))
-
-
 def above_average(df: DataFrame, column: str) -> DataFrame:
     """Rows above the mean of their own column; the mean is a scalar subquery."""
     mean = df.agg(F.avg(column).alias("mean")).scalar()

@@ -33,12 +33,12 @@ class Cleaned:
 
     def rejects(self) -> DataFrame:
         """Rows per rule, the two kinds of duplicate and ``loaded``; they sum to the delivery."""
-        by_rule = self.rows.groupBy(F.coalesce("reject_rule", F.lit("loaded")).alias("rule")).agg(F.count(F.lit(1)).alias("n_rows"))
-        dup = self.rows.agg(
-            F.coalesce(F.sum(F.col("raw_copies") - F.col("clean_copies")), F.lit(0)).alias("duplicate_key"),
-            F.coalesce(F.sum(F.col("clean_copies") - 1), F.lit(0)).alias("duplicate_key_after_cleaning"),
-        ).unpivot([], ["duplicate_key", "duplicate_key_after_cleaning"], "rule", "n_rows")
-        return by_rule.unionByName(dup).filter(F.col("n_rows") > 0)
+        by_rule = self.rows.groupBy(F.coalesce("reject_rule", F.lit("loaded")).alias("rule")).agg(
+            F.count(F.lit(1)).alias("n"), F.sum(F.col("raw_copies") - F.col("clean_copies")).alias("raw"), F.sum(F.col("clean_copies") - 1).alias("clean"))
+        parts = [F.struct(rule.alias("rule"), F.col(n).alias("n_rows")) for rule, n in (
+            (F.col("rule"), "n"), (F.lit("duplicate_key"), "raw"), (F.lit("duplicate_key_after_cleaning"), "clean"))]
+        long = by_rule.select(F.inline(F.array(*parts)))
+        return long.groupBy("rule").agg(F.sum("n_rows").alias("n_rows")).filter(F.col("n_rows") > 0)
 
 
 def _unique(df: DataFrame, key: str, clean_key) -> DataFrame:

@@ -20,7 +20,7 @@ def _by_score(df: DataFrame, score: str, label: str, by: Sequence[str]) -> DataF
         return s
     # running totals go on across groups; take off what stood before each group
     base = s.groupBy(*by).agg(F.min(F.col("cum_pos") - F.col("pos")).alias("_bp"), F.min(F.col("cum_neg") - F.col("neg")).alias("_bn"))
-    return s.join(F.broadcast(base), list(by)).select(
+    return s.join(base, list(by)).select(
         *by, score, "pos", "neg", (F.col("cum_pos") - F.col("_bp")).alias("cum_pos"), (F.col("cum_neg") - F.col("_bn")).alias("cum_neg"))
 
 

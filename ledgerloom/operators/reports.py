@@ -20,7 +20,9 @@ def officer_names(promises: DataFrame, outcomes: DataFrame, sequences: DataFrame
         name = F.trim("officer_name")
         return df.select(name.alias("officer_name")).filter(F.col("officer_name").isNotNull() & ~F.lower("officer_name").isin(*reserved)).distinct()
 
-    return names(promises, RESERVED).union(names(outcomes, RESERVED)).union(names(sequences, ["system", ""])).distinct()
+    # spellings of a name that differ in case are one officer, shown by the least of them
+    every = names(promises, RESERVED).union(names(outcomes, RESERVED)).union(names(sequences, ["system", ""]))
+    return every.groupBy(F.lower("officer_name")).agg(F.min("officer_name").alias("officer_name")).select("officer_name")
 
 
 def badge(score: Column) -> Column:

@@ -291,7 +291,7 @@ def kpis(spark: SparkSession, sf: str) -> DataFrame:
 @R.query("officer_leaderboard", with_sql(PROMISES, _KPI, body="""
 SELECT officer_name, score, promises_total, promises_kept, promises_broken, promises_pending, keep_rate_pct, contacts_this_week, fcfa_collected, fcfa_pending, sequences_started,
   CAST(row_number() OVER (ORDER BY score DESC, officer_name) AS INTEGER) AS rank,
-  CASE WHEN score >= 85 THEN 'CHAMPION' WHEN score >= 70 THEN 'TOP PERFORMER' WHEN score >= 50 THEN 'ON TRACK' WHEN score >= 30 THEN 'NEEDS SUPPORT' ELSE 'CRITICAL' END AS badge FROM sc"""))
+  CASE WHEN score >= 85 THEN 'CHAMPION' WHEN score >= 70 THEN 'TOP PERFORMER' WHEN score >= 50 THEN 'ON TRACK' WHEN score >= 30 THEN 'NEEDS SUPPORT' ELSE 'CRITICAL' END AS badge FROM sc ORDER BY score DESC, officer_name LIMIT 20"""))
 def _(spark: SparkSession, sf: str) -> DataFrame:
     return rep.leaderboard(kpis(spark, sf)).select(
         "officer_name", "score", "promises_total", "promises_kept", "promises_broken", "promises_pending", "keep_rate_pct", "contacts_this_week", "fcfa_collected",
