@@ -22,8 +22,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 #: Fixed values of the rules.
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 20, 30, 8
 SYMBOLS = "#*$%&|<>"
-_DROPPED_SPACE = {c: None for c in (0x20, *range(0x09, 0x0E))}
+_SPACE = bytes((0x20, *range(0x09, 0x0E)))
 _ONLY_SYMBOLS = bytes(c for c in range(256) if chr(c) not in SYMBOLS)
+_NOT_CAPITAL = bytes(c for c in range(256) if not 65 <= c <= 90)
 _ONLY_MARKS = bytes(c for c in range(256) if not (33 <= c <= 47 or 58 <= c <= 64))
 
 #: Labelled documents the forest may be grown on (a bound on the driver's memory, not on what is judged).
@@ -74,8 +75,8 @@ def statistics(text: str) -> list[float]:
     n = len(words)
     dup = repeated_lines(text)
     symbols = len(raw.translate(None, _ONLY_SYMBOLS))
-    chars = len(text.translate(_DROPPED_SPACE))
-    upper = sum(map(str.isupper, text))
+    chars = len(text) - len(raw) + len(raw.translate(None, _SPACE))
+    upper = len(raw.translate(None, _NOT_CAPITAL)) if text.isascii() else sum(map(str.isupper, text))
     marks = len(raw.translate(None, _ONLY_MARKS))
     # short texts are drawn towards usual values, so that chance does not make them look odd
     ratios = [symbols / (n + 20), (upper + 5) / (chars + 300), (marks + 7) / (n + 50), (chars + 250) / (n + 50), len(set(words)) / max(n, 1) ** 0.8]
