@@ -89,7 +89,8 @@ def _marked(docs: DataFrame, windows: DataFrame, lengths: list[int], gram: int)
         return F.transform(fingerprints(w, n, min(gram, n)), lambda f: F.struct(f["fp"].alias("fp"), F.lit(n).alias("len"), f["pos"].alias("pos")))
 
     def all_of(w: Column) -> Column:
-        size = F.array(F.struct(F.lit(None).cast("bigint").alias("fp"), F.lit(0).alias("len"), F.size(w).alias("pos")))
+        # no mark has length 0; the hash of the text spreads these rows
+        size = F.array(F.struct(F.col("_h").alias("fp"), F.lit(0).alias("len"), F.size(w).alias("pos")))
         return F.concat(size, *(of_length(w, n) for n in lengths))
 
     spread = docs.select("_id", "_h", F.explode(let(words_of(F.col("_txt")), all_of)).alias("f")).select("_id", "_h", "f.*")
