@@ -13,11 +13,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import WORD
+from ledgerloom.session import materialize
 
 WEIGHTS = (5, 2, 1)
 BUDGET = 1.5
 CEILING = 2
 SEED = "mix"
+#: Sources whose targets are sent to every task.
+BROADCAST_SOURCES = 10_000
 
 
 def word_count(text: str = "text") -> Column:
@@ -66,8 +69,11 @@ def mix(docs: DataFrame, ident: str = "doc_id", source: str = "source", text: st
     fresh = ["size", "source_size", "target", "copies"]
     base = docs.drop(*fresh).withColumn("size", word_count(text))
     targets = source_targets(base.select(F.col(source).alias("_mix_source"), "size"), "_mix_source", "size", weights, budget, ceiling)
-    # at most one row per source; Spark broadcasts it only if its measured size allows
-    joined = base.join(targets.drop("weight"), base[source].eqNullSafe(targets["_mix_source"]), "left").drop("_mix_source")
+    # one row per source: sent to all tasks if they are counted to be few, so that documents need not move; else joined by shuffle
+    targets = materialize(targets.drop("weight"), "targets")
+    if targets.count() <= BROADCAST_SOURCES:
+        targets = F.broadcast(targets)
+    joined = base.join(targets, base[source].eqNullSafe(F.col("_mix_source")), "left").drop("_mix_source")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     copies = F.floor(rate) + F.when(draw(ident, seed) < rate - F.floor(rate), 1).otherwise(0)
     return joined.withColumn("copies", copies.cast("bigint"))
