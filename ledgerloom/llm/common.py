@@ -17,8 +17,8 @@ from ledgerloom.session import materialize
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: Words of the contracts: runs of anything but ASCII white space.
-WORD = r"[^\x20\x09-\x0D]+"
+#: White space of the contracts; words are what stands between it.
+SPACE = r"[\x20\x09-\x0D]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import WORD
+from ledgerloom.llm.common import SPACE
 from ledgerloom.session import materialize
 
 WEIGHTS = (5, 2, 1)
@@ -25,7 +25,7 @@ BROADCAST_SOURCES = 10_000
 
 def word_count(text: str = "text") -> Column:
     """Words of the whole text; NULL has none."""
-    return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("bigint")
+    return F.size(F.array_remove(F.split(F.coalesce(F.col(text), F.lit("")), SPACE), "")).cast("bigint")
 
 
 def source_targets(sizes: DataFrame, source: str = "source", size: str = "size", weights=WEIGHTS, budget: float = BUDGET, ceiling: int = CEILING) -> DataFrame:
