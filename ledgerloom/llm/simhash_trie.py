@@ -38,19 +38,22 @@ EXPECTED_ROWS = 256
 FRONT = 1 << 17
 
 
-def fingerprint(text: str, shingle: int = SHINGLE) -> int:
-    """Bits set in over half of the shingles' hashes; no words: zero."""
+def shingle_hashes(text: str, shingle: int = SHINGLE) -> np.ndarray:
+    """Hashes of all shingles in order; a text of fewer words is one, no words: none."""
     words = text.encode().lower().split()  # bytes: only A-Z change, only ASCII white space splits
     n = len(words)
-    if not n:
-        return 0
     joined = b" ".join(words)
+    digest = xxhash.xxh64_intdigest
     if n <= shingle:
-        return xxhash.xxh64_intdigest(joined, SEED)
+        return np.array([digest(joined, SEED)] * (n > 0), np.uint64)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, n) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
-    digest = xxhash.xxh64_intdigest
-    h = np.array([digest(joined[a:b], SEED) for a, b in zip(starts[: n - shingle + 1].tolist(), ends[shingle - 1 :].tolist())], np.uint64)
+    return np.array([digest(joined[a:b], SEED) for a, b in zip(starts[: n - shingle + 1].tolist(), ends[shingle - 1 :].tolist())], np.uint64)
+
+
+def fingerprint(text: str, shingle: int = SHINGLE) -> int:
+    """Bits set in over half of the shingles' hashes; no words: zero."""
+    h = shingle_hashes(text, shingle)
     counts = np.zeros(64, np.int64)
     for k in range(0, len(h), 1 << 16):
         part = h[k : k + (1 << 16)].astype("<u8").view(np.uint8).reshape(-1, 8)
