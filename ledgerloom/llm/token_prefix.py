@@ -1,11 +1,12 @@
-"""Token counts stored at every prefix, so that truncation and budgets need no second encoding.
-
-A pre-token never crosses white space, so the count of a prefix that ends at
-white space is the sum of the counts of the chunks before it. The counts of all
-such prefixes are kept as two arrays (``ends``: code points, ``counts``: tokens);
-the dynamic programme is ``counts[i] = counts[i - 1] + tokens(chunk i)`` with the
-tokens of a chunk taken from the tokenizer once and remembered. ``inside`` adds
-the prefixes that end within a chunk.
+"""Token counts stored at every pre-token, so that truncation and budgets need no second encoding.
+
+A pre-token (a run of letters, a digit, a run of signs) is encoded by itself, so
+the count of a prefix that ends between two of them is the sum of the counts
+before it. These counts are kept as two arrays (``ends``: code points,
+``counts``: tokens); the dynamic programme is ``counts[i] = counts[i - 1] +
+tokens(pre-token i)``, with the pre-tokens of a chunk between white space taken
+from the tokenizer once and remembered. A budget is settled inside the one
+pre-token that crosses it; ``all_prefix_counts`` has the prefixes inside all.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from __future__ import annotations
 import os
 import re
 import sys
+from bisect import bisect_right
 from itertools import accumulate
 
 from pyspark import cloudpickle
@@ -25,10 +27,11 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Chunks remembered by a task; beyond it the memory starts anew (results do not change).
 REMEMBERED = 400_000
+SPACES = " \t\n\v\f\r"
 
 
 class ChunkCounter:
-    """Tokens of chunks, as the tokenizer file gives them; a chunk has no ASCII white space."""
+    """Pre-tokens of chunks and their tokens, as the tokenizer file gives them; a chunk has no ASCII white space."""
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -37,9 +40,14 @@ class ChunkCounter:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known: dict[str, int] = {}
+        self.known: dict[str, list[tuple[int, int]]] = {}
+        self.pieces: frozenset[bytes] | None = None
+
+    def count(self, texts: list[str]) -> list[int]:
+        return [len(e) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
     def learn(self, chunks: set[str]) -> None:
+        """Know (end, tokens) of every pre-token of the chunks."""
         new = [c for c in chunks if c not in self.known]
         if len(self.known) + len(new) > REMEMBERED:
             self.known.clear()
@@ -47,18 +55,75 @@ class ChunkCounter:
         for k in range(0, len(new), 4096):
             part = new[k : k + 4096]
             for c, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
-                self.known[c] = len(e)
+                self.known[c] = self.split(len(c), e)
+
+    @staticmethod
+    def split(size: int, e) -> list[tuple[int, int]]:
+        """A pre-token reaches to the start of the next; those that share a code point stay together."""
+        words = e.word_ids
+        if not words or words[0] == words[-1]:
+            return [(size, len(words))]
+        ends, counts, last, reach = [], [0], words[0], 0
+        for w, (start, stop) in zip(words, e.offsets):
+            if w != last:
+                if start >= reach > 0:
+                    ends.append(start)
+                    counts.append(0)
+                last = w
+            counts[-1] += 1
+            reach = max(reach, stop)
+        return list(zip([*ends, size], counts))
 
     def inside(self, chunk: str) -> list[int]:
         """Tokens of each prefix of a chunk, the empty one first."""
-        return [0, *(len(e) for e in self.tokenizer.encode_batch([chunk[:i] for i in range(1, len(chunk) + 1)], add_special_tokens=False))]
-
-
+        self.learn({chunk})
+        out, base, start = [0], 0, 0
+        for end, n in self.known[chunk]:
+            out += [base + x for x in self.count([chunk[start:i] for i in range(start + 1, end + 1)])]
+            base, start = base + n, end
+        return out
+
+    def fitting(self, word: str, budget: int) -> int:
+        """Code points of the longest prefix of a pre-token with at most so many tokens."""
+        least = self.least_tokens(word) if len(word) > 32 else None
+        sizes = [i for i in range(len(word) - 1, 0, -1) if least is None or i < len(least) and least[i] <= budget]
+        for k in range(0, len(sizes), 16):
+            part = sizes[k : k + 16]
+            for i, n in zip(part, self.count([word[:i] for i in part])):
+                if n <= budget:
+                    return i
+        return 0
+
+    def least_tokens(self, word: str) -> list[int] | None:
+        """For each prefix the least number of vocabulary entries that make it up, which its tokens cannot be fewer than; None if its code points act on each other."""
+        normalize = self.tokenizer.normalizer.normalize_str if self.tokenizer.normalizer else str
+        parts = [normalize(c) for c in word]
+        if normalize(word) != "".join(parts) or self.tokenizer.get_vocab_size() == 0:
+            return None
+        if self.pieces is None:
+            self.pieces = frozenset(bytes(map(BYTES.__getitem__, p)) for v in self.tokenizer.get_vocab(with_added_tokens=False) if set(p := v.removesuffix("</w>")) <= BYTES.keys())
+            self.longest = max(map(len, self.pieces), default=0)
+        data = "".join(parts).encode()
+        best = [0]
+        for i in range(1, len(data) + 1):
+            best.append(1 + min((best[j] for j in range(max(0, i - self.longest), i) if data[j:i] in self.pieces), default=0))
+        at = accumulate((len(p.encode()) for p in parts), initial=0)
+        return [best[i] for i in at]
+
+
+def _byte_letters() -> dict[str, int]:
+    """Letters that stand for bytes in a byte-level vocabulary."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
+
+
+BYTES = _byte_letters()
 CHUNK = re.compile(r"[^\x20\x09-\x0D]+")
 
 
-def prefix_counts(docs: DataFrame, tokenizer: str, keep: list[str], text: str = "text") -> DataFrame:
-    """``keep`` plus ``n_bytes``, ``ends`` and ``counts`` of the whole text.
+def prefix_counts(docs: DataFrame, tokenizer: str, keep: list[str], text: str = "text", limit: int | None = None) -> DataFrame:
+    """``keep`` plus ``n_bytes``, ``ends`` and ``counts`` of the whole text, and ``cut``: code points of its longest prefix of at most ``limit`` tokens.
 
     NULL and empty texts have empty arrays. ``tokenizer`` is the path of a
     tokenizer file, the same on every executor.
@@ -67,20 +132,35 @@ def prefix_counts(docs: DataFrame, tokenizer: str, keep: list[str], text: str =
     def make():
         counter = ChunkCounter(tokenizer)
 
+        def longest(t: str, ends: list[int], counts: list[int]) -> int:
+            if limit is None or not counts or counts[-1] <= limit:
+                return len(t)
+            k = bisect_right(counts, limit)  # the first pre-token that ends beyond the limit
+            start, base = (ends[k - 1], counts[k - 1]) if k else (0, 0)
+            while start < ends[k] and t[start] in SPACES:
+                start += 1
+            return start + counter.fitting(t[start : ends[k]], limit - base)
+
         def run(texts: list[str]) -> list:
-            n_bytes, ends, counts = [], [], []
+            n_bytes, all_ends, all_counts, cuts = [], [], [], []
             for t in texts:
-                spans = [m.span() for m in CHUNK.finditer(t)]
-                chunks = [t[a:b] for a, b in spans]
-                counter.learn(set(chunks))
+                found = [(m.start(), m[0]) for m in CHUNK.finditer(t)]
+                counter.learn({c for _, c in found})
+                ends, counts, n = [], [], 0
+                for start, chunk in found:
+                    for end, more in counter.known[chunk]:
+                        n += more
+                        ends.append(start + end)
+                        counts.append(n)
                 n_bytes.append(len(t.encode()))
-                ends.append([b for _, b in spans])
-                counts.append(list(accumulate(map(counter.known.__getitem__, chunks))))
-            return [n_bytes, ends, counts]
+                all_ends.append(ends)
+                all_counts.append(counts)
+                cuts.append(longest(t, ends, counts))
+            return [n_bytes, all_ends, all_counts, cuts]
 
         return run
 
-    return map_text(docs, make, "n_bytes bigint, ends array<int>, counts array<int>", keep, text)
+    return map_text(docs, make, "n_bytes bigint, ends array<int>, counts array<int>, cut int", keep, text)
 
 
 def all_prefix_counts(docs: DataFrame, tokenizer: str, keep: list[str], text: str = "text") -> DataFrame:
@@ -109,20 +189,8 @@ def total(counts: Column | str = "counts") -> Column:
     return F.when(F.size(c) > 0, F.element_at(c, -1)).otherwise(0).cast("bigint")
 
 
-def chunks_within(budget: int, counts: Column | str = "counts") -> Column:
-    """How many leading chunks fit a budget of tokens; counts never fall, so a filter finds them."""
-    return F.size(F.filter(counts, lambda x: x <= budget))
-
-
-def cut_at(budget: int, ends: str = "ends", counts: str = "counts") -> Column:
-    """Code points of the longest prefix of whole chunks within the budget."""
-    n = chunks_within(budget, counts)
-    return F.when(n > 0, F.element_at(ends, n)).otherwise(0)
-
-
 def token_counts(docs: DataFrame, tokenizer: str, limit: int, keep: list[str], text: str = "text") -> DataFrame:
-    """``keep``, ``n_bytes``, ``n_tokens``, ``over_limit`` and ``cut_chars`` (where the text would be cut to the limit)."""
-    p = prefix_counts(docs, tokenizer, keep, text)
+    """``keep``, ``n_bytes``, ``n_tokens``, ``over_limit`` and ``cut_chars`` (code points of the longest prefix within the limit)."""
+    p = prefix_counts(docs, tokenizer, keep, text, limit)
     n = total()
-    cut = F.when(n > limit, cut_at(limit)).otherwise(F.when(F.size("ends") > 0, F.element_at("ends", -1)).otherwise(0))
-    return p.select(*keep, "n_bytes", n.alias("n_tokens"), (n > limit).alias("over_limit"), cut.cast("bigint").alias("cut_chars"))
+    return p.select(*keep, "n_bytes", n.alias("n_tokens"), (n > limit).alias("over_limit"), F.col("cut").cast("bigint").alias("cut_chars"))
