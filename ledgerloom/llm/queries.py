@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chat_format, pii_votes, quality_forest, secret_scan, simhash_trie, source_mix, suffix_dedup, token_prefix, url_model, winnowing
+from ledgerloom.llm import chat_format, ns_clusters, pii_votes, quality_forest, ring_shards, secret_scan, simhash_trie, source_mix, suffix_dedup, token_align, token_prefix, url_model, winnowing
 from ledgerloom.llm.common import table
 from ledgerloom.plans.registry import Registry
 
@@ -21,8 +21,6 @@ def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
-
-
 @R.query("op2_url_filters")
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_model.filter_urls(table(spark, sf_dir, "pages"))
@@ -121,3 +119,46 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM doc_words LEFT JOIN covered USING (r) LEFT JOIN named USING (r)""")
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@R.query("op11_token_alignment")
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_align.token_alignment(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@R.query("op12_ring_shards")
+def op12_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ring_shards.law_of_bytes(table(spark, sf_dir, "documents"))
+
+
+def _duck_clusters(rounds: int = ns_clusters.ROUNDS, clusters: int = ns_clusters.CLUSTERS) -> str:
+    """Plain k-means, one pair of common tables a round: every vector against every centroid."""
+    distance = "list_sum(list_transform(list_zip(x.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+    parts = [f"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, row_number() OVER () AS r, list_transform(embedding, lambda e: floor(1024 * e::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = 64),
+c0 AS MATERIALIZED (
+  SELECT (row_number() OVER (ORDER BY sha256('3:' || vec_id::VARCHAR) NULLS LAST, v) - 1)::INT AS cluster, v FROM kept
+  QUALIFY row_number() OVER (ORDER BY sha256('3:' || vec_id::VARCHAR) NULLS LAST, v) <= {clusters})"""]
+    for t in range(rounds + 1):
+        parts.append(f"""
+a{t} AS MATERIALIZED (
+  SELECT r, arg_min(cluster, d * {clusters} + cluster) AS cluster, min(d) AS distance
+  FROM (SELECT x.r, c.cluster, {distance}::HUGEINT AS d FROM kept x, c{t} c) GROUP BY r)""")
+        if t < rounds:
+            parts.append(f"""
+m{t} AS MATERIALIZED (
+  SELECT cluster, list(fl ORDER BY i) AS v FROM (
+    SELECT cluster, i, ((s - ((s % n) + n) % n) // n)::BIGINT AS fl
+    FROM (SELECT a.cluster, u.i, sum(x.v[u.i]) AS s, count(*) AS n FROM a{t} a JOIN kept x USING (r), (SELECT unnest(generate_series(1, 64)) AS i) u GROUP BY 1, 2)) GROUP BY cluster),
+c{t + 1} AS MATERIALIZED (SELECT c.cluster, coalesce(m.v, c.v) AS v FROM c{t} c LEFT JOIN m{t} m USING (cluster))""")
+    return ",".join(parts) + f"""
+SELECT x.vec_id, a.cluster, a.distance::BIGINT AS distance, (sum(a.distance) OVER (PARTITION BY a.cluster))::BIGINT AS cluster_inertia, (sum(a.distance) OVER ())::BIGINT AS inertia,
+  sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN kept x USING (r) JOIN c{rounds} c USING (cluster)"""
+
+
+@R.query("op13_centroid_clustering", _duck_clusters())
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ns_clusters.clustered(table(spark, sf_dir, "embeddings"))
