@@ -5,6 +5,7 @@ value is counted over the corpus by distinct owners and repositories: a value
 that many owners hold is a copied example, one that stays with few owners and
 looks random is a live credential. The scan's own spans stay whatever the count
 says; ``token`` spans (random-looking values outside them) are added if live.
+``owned_spans`` follows the count for both, so that only these need be removed.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from collections import Counter
 
 import xxhash
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import map_batches, map_text, numbered
@@ -34,6 +35,8 @@ KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 #: A value with more owners than this is a copied example.
 MAX_OWNERS = 2
+#: So is one that stands in more repositories than this for each of its owners.
+MAX_REPOSITORIES = 50
 #: Bits of Shannon entropy per character from which a value looks random.
 MIN_ENTROPY = 3.0
 
@@ -106,9 +109,11 @@ def ownership(found: DataFrame, owner: str, repository: str) -> DataFrame:
     return owners.groupBy("digest").agg(F.count("*").alias("n_owners"), F.sum("_repositories").alias("n_repositories"), F.sum("_n").alias("n_found"))
 
 
-def scan_secrets(docs: DataFrame, owner: str = "source", repository: str = "doc_id", ident: str = "doc_id", text: str = "text", keep: list[str] | None = None, max_owners: int = MAX_OWNERS) -> DataFrame:
-    """``keep`` (default: the id), counts and digest of base spans, ``spans``, and how many candidates are live or examples.
+def scan_secrets(docs: DataFrame, owner: str = "source", repository: str = "doc_id", ident: str = "doc_id", text: str = "text", keep: list[str] | None = None, max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES) -> DataFrame:
+    """``keep`` (default: the id), counts and digest of base spans, ``spans``, ``owned_spans`` (those that are no copied examples), and how many candidates are live or examples.
 
+    A value is a copied example if more than ``max_owners`` owners hold it, or if
+    it stands in more than ``max_repositories`` repositories for each owner.
     NULL and empty texts have no spans; repeated rows get a row each. Owners and
     repositories that are NULL count as one of their own.
     """
@@ -118,14 +123,20 @@ def scan_secrets(docs: DataFrame, owner: str = "source", repository: str = "doc_
     rows = numbered(scan(base, [*own, "_owner", "_repository"], "_txt"), "secret-scan")
     found = rows.filter(F.size("found") > 0).select("_row", "_owner", "_repository", F.inline("found"))
     held = ownership(found.select("digest", "_owner", "_repository"), "_owner", "_repository")
-    judged = found.join(held, "digest").select("_row", "kind", "start", "stop", (F.col("n_owners") > max_owners).alias("example"), "live")
+    example = (F.col("n_owners") > max_owners) | (F.col("n_repositories") > max_repositories * F.col("n_owners"))
+    judged = found.join(held, "digest").select("_row", "kind", "start", "stop", example.alias("example"), "live")
     live = F.col("live") & ~F.col("example")
     shown = F.when((F.col("kind") < 3) | live, F.struct("start", "kind", "stop"))
-    per_row = judged.groupBy("_row").agg(F.sort_array(F.collect_list(shown)).alias("_spans"), F.count_if(live).alias("n_live"), F.count_if("example").alias("n_example"))
+    owned = F.when(((F.col("kind") < 3) | F.col("live")) & ~F.col("example"), F.struct("start", "kind", "stop"))
+    per_row = judged.groupBy("_row").agg(F.sort_array(F.collect_list(shown)).alias("_spans"), F.sort_array(F.collect_list(owned)).alias("_owned"), F.count_if(live).alias("n_live"), F.count_if("example").alias("n_example"))
     names = F.array(*map(F.lit, KINDS))
-    text_of = F.array_join(F.transform("_spans", lambda x: F.concat_ws(":", F.element_at(names, x["kind"] + 1), x["start"].cast("string"), x["stop"].cast("string"))), ",")
+
+    def text_of(spans: str) -> Column:
+        listed = F.transform(spans, lambda x: F.concat_ws(":", F.element_at(names, x["kind"] + 1), x["start"].cast("string"), x["stop"].cast("string")))
+        return F.coalesce(F.array_join(listed, ","), F.lit(""))
+
     return rows.join(per_row, "_row", "left").select(
-        *(F.col(o).alias(c) for c, o in zip(keep, own)), "n_assign", "n_access", "n_hex", "base_sha256", F.coalesce(text_of, F.lit("")).alias("spans"),
+        *(F.col(o).alias(c) for c, o in zip(keep, own)), "n_assign", "n_access", "n_hex", "base_sha256", text_of("_spans").alias("spans"), text_of("_owned").alias("owned_spans"),
         F.coalesce("n_live", F.lit(0)).alias("n_live"), F.coalesce("n_example", F.lit(0)).alias("n_example"))
 
 
