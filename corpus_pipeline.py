@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import quality_forest, secret_scan, shingle_links, source_mix, winnowing
+from ledgerloom.llm import quality_forest, secret_scan, simhash_trie, source_mix, winnowing
 from ledgerloom.llm.common import table
 from ledgerloom.session import materialize
 
-#: Isolation forests and SimHash are no SQL; tests hold every stage against a plain version.
+#: Isolation forests and SimHash are no SQL; `tests/llm/test_pipeline.py` holds whole rows of `run` against plain versions of the stages.
 ORACLE_SQL = None
 
 
@@ -37,13 +37,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the least id (then the least hash of its text), one row of it."""
-    told = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("_h"))
-    groups = shingle_links.near_copies(told, keep=["doc_id", "_h"])
-    first = groups.groupBy("component").agg(F.min(F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", F.col("_h").alias("h"))).alias("s")).select(F.col("s.doc_id").alias("_i"), F.col("s.h").alias("_s"))
-    rows = docs.withColumn("_h", F.xxhash64(F.coalesce("text", F.lit(""))))
-    found = rows.join(first, rows["doc_id"].eqNullSafe(first["_i"]) & (rows["_h"] == first["_s"]), "left_semi")
-    return found.dropDuplicates(["doc_id", "_h"]).select(*docs.columns)
+    """One document of each group of near copies: the one with the least id (none: last), then the least digest of its row; of rows alike in all columns, one."""
+    p = Plain(docs)
+    # NULLs are no part of a digest, so where they stand is
+    row = [*(F.isnull(c) for c in p.columns), *p.columns]
+    marked = p.docs.withColumns({"digest1": F.xxhash64(F.lit(1), *row), "digest2": F.xxhash64(F.lit(2), *row)})
+    groups = simhash_trie.near_duplicates(marked, ident=p["doc_id"], text=p["text"], keep=[p["doc_id"], "digest1", "digest2"])
+    order = F.struct(F.isnull(p["doc_id"]).alias("no_id"), p["doc_id"], "digest1", "digest2")
+    first = groups.groupBy("component").agg(F.min(order).alias("s")).select("s.digest1", "s.digest2")
+    kept = marked.join(first, ["digest1", "digest2"], "left_semi").dropDuplicates(["digest1", "digest2"])
+    return p.back(kept)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,11 +57,11 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def secrets_removed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, secrets in them replaced by a mark; ``n_chars`` follows the text."""
+    """All documents; spans whose value is not a widely copied example are replaced by a mark, and ``n_chars`` follows the text."""
     p = Plain(docs)
     scanned = secret_scan.scan_secrets(p.docs, owner=p["source"], repository=p["doc_id"], ident=p["doc_id"], text=p["text"], keep=p.columns)
-    clean = secret_scan.redact(scanned.select(*p.columns, "spans"), p["text"])
-    size = F.when(F.col("spans") == "", F.col(p["n_chars"])).otherwise(F.char_length(p["text"]).cast("bigint"))
+    clean = secret_scan.redact(scanned.select(*p.columns, "owned_spans"), p["text"], "owned_spans")
+    size = F.when(F.col("owned_spans") == "", F.col(p["n_chars"])).otherwise(F.char_length(p["text"]).cast("bigint"))
     return p.back(clean.withColumn(p["n_chars"], size))
 
 
