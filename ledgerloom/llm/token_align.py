@@ -124,12 +124,19 @@ def common_cuts(a_ends: list[int], b_ends: list[int]) -> tuple[list[int], list[i
     at_a = dict(zip(a_ends, range(1, len(a_ends) + 1)))
     at_b = dict(zip(b_ends, range(1, len(b_ends) + 1)))
     common = sorted(at_a.keys() & at_b.keys())
-    return [at_a[e] for e in common], [at_b[e] for e in common]
+    return list(map(at_a.__getitem__, common)), list(map(at_b.__getitem__, common))
+
+
+def steps(ends: np.ndarray) -> np.ndarray:
+    """From 0 to the first, and from each to the next."""
+    out = ends.copy()
+    out[1:] -= ends[:-1]
+    return out
 
 
 def links_of(a_ids: np.ndarray, b_ids: np.ndarray, a_ends: np.ndarray, b_ends: np.ndarray, a_cuts: np.ndarray, b_cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all pairs of tokens that end together, slice by slice."""
-    if (np.diff(a_ends, prepend=0) > 0).all() and (np.diff(b_ends, prepend=0) > 0).all():
+    if (steps(a_ends) > 0).all() and (steps(b_ends) > 0).all():
         return a_ids[a_cuts - 1], b_ids[b_cuts - 1]  # one token of each side ends with the slice
     x, y = [a_ids[:0]], [b_ids[:0]]
     for i, j in zip(a_cuts.tolist(), b_cuts.tolist()):
@@ -146,31 +153,47 @@ class Aligner:
     def __init__(self, a: str, b: str) -> None:
         self.a, self.b = ByteLevel(a), Pieces(b)
         self.sizes = [np.array([len(p) for p in t.pieces], np.int64) for t in (self.a, self.b)]
-        self.names = [[str(i) for i in range(len(t.pieces))] for t in (self.a, self.b)]
+        # pieces one after the other, and where each begins
+        self.bytes = [np.frombuffer(b"".join(t.pieces), np.uint8) for t in (self.a, self.b)]
+        self.begins = [np.cumsum(n) - n for n in self.sizes]
+        # written ids of A within and at the end of a group, then those of B
+        n_a, n_b = len(self.a.pieces), len(self.b.pieces)
+        written = [f"{i}{mark}".encode() for n, mark in ((n_a, ","), (n_a, "|"), (n_b, ","), (n_b, ";")) for i in range(n)]
+        width = max(map(len, written))
+        self.written = np.frombuffer(b"".join(w.ljust(width, b"\0") for w in written), np.uint8).reshape(-1, width)
+
+    def gives_back(self, side: int, ids: np.ndarray, ends: np.ndarray, data: np.ndarray) -> bool:
+        """Whether the bytes of the tokens are ``data``."""
+        if not len(ends) or ends[-1] != len(data):
+            return False
+        sizes = self.sizes[side][ids]
+        at = np.arange(len(data)) + np.repeat(self.begins[side][ids] - (ends - sizes), sizes)
+        return np.array_equal(self.bytes[side][at], data)
 
     def __call__(self, text: str | None):
         """Ids of A and of B, cuts of A and of B, linked ids of A and of B; None if the text has no tokens."""
         if not text:
             return None
         full = " " + text
-        data = full.encode()
-        ids = self.a.encode(full), self.b.encode(text)
-        for t, i in zip((self.a, self.b), ids):
-            if b"".join(map(t.pieces.__getitem__, i)) != data:
-                return None
-        x, y = np.array(ids[0], np.int32), np.array(ids[1], np.int32)
+        data = np.frombuffer(full.encode(), np.uint8)
+        x, y = np.array(self.a.encode(full), np.int32), np.array(self.b.encode(text), np.int32)
         a_ends, b_ends = np.cumsum(self.sizes[0][x]), np.cumsum(self.sizes[1][y])
-        a_cuts, b_cuts = common_cuts(a_ends.tolist(), b_ends.tolist())
-        return ids[0], ids[1], a_cuts, b_cuts, *links_of(x, y, a_ends, b_ends, np.array(a_cuts), np.array(b_cuts))
+        if not (self.gives_back(0, x, a_ends, data) and self.gives_back(1, y, b_ends, data)):
+            return None
+        a_cuts, b_cuts = map(np.array, common_cuts(a_ends.tolist(), b_ends.tolist()))
+        return x, y, a_cuts, b_cuts, *links_of(x, y, a_ends, b_ends, a_cuts, b_cuts)
 
-    def digest(self, a_ids: list[int], b_ids: list[int], a_cuts: list[int], b_cuts: list[int]) -> str:
+    def digest(self, a_ids: np.ndarray, b_ids: np.ndarray, a_cuts: np.ndarray, b_cuts: np.ndarray) -> str:
         """SHA-256 of the groups, written ``a1,a2|b1;a3|b2,b3``."""
-        a, b = [self.names[0][i] for i in a_ids], [self.names[1][i] for i in b_ids]
-        out, i, j = [], 0, 0
-        for p, q in zip(a_cuts, b_cuts):
-            out.append(f"{a[i] if p == i + 1 else ','.join(a[i:p])}|{b[j] if q == j + 1 else ','.join(b[j:q])}")
-            i, j = p, q
-        return hashlib.sha256(";".join(out).encode()).hexdigest()
+        n_a, n_b = len(self.a.pieces), len(self.b.pieces)
+        a_last, b_last = np.zeros(len(a_ids), np.int64), np.zeros(len(b_ids), np.int64)
+        a_last[a_cuts - 1], b_last[b_cuts - 1] = 1, 1
+        a_sizes, b_sizes = steps(a_cuts), steps(b_cuts)
+        order = np.empty(len(a_ids) + len(b_ids), np.int64)
+        order[np.arange(len(a_ids)) + np.repeat(b_cuts - b_sizes, a_sizes)] = a_ids + n_a * a_last
+        order[np.arange(len(b_ids)) + np.repeat(a_cuts, b_sizes)] = b_ids + 2 * n_a + n_b * b_last
+        text = self.written[order].ravel()
+        return hashlib.sha256(text[text != 0][:-1].tobytes()).hexdigest()
 
 
 def _lists(parts: list, kind: pa.DataType) -> pa.ListArray:
@@ -208,7 +231,7 @@ def align_tokens(docs: DataFrame, a: str, b: str, keep: Sequence[str], text: str
         columns: dict[str, list] = {g: [] for g in GIVES}
         for t in texts:
             found = aligner(t)
-            a_ids, b_ids, a_cuts, b_cuts, x, y = found or ([], [], [], [], np.array([], np.int32), np.array([], np.int32))
+            a_ids, b_ids, a_cuts, b_cuts, x, y = found or [np.zeros(0, np.int32)] * 6
             row = {"a_ids": a_ids, "b_ids": b_ids, "a_cuts": a_cuts, "b_cuts": b_cuts, "n_a": len(a_ids), "n_b": len(b_ids), "n_groups": len(a_cuts), "n_links": len(x)}
             if "groups_sha256" in give:
                 row["groups_sha256"] = aligner.digest(a_ids, b_ids, a_cuts, b_cuts) if found else ""
