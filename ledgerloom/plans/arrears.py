@@ -119,6 +119,10 @@ _SEASON = """feat AS (SELECT *, CAST(abs(observation_day) % 8 AS INTEGER) AS mar
 FEATURES_SQL = (INSTALMENTS, APPLICATIONS, BUREAU, POS_CASH, EVENTS, _history_sql(True), _BORROWER, _SEASON)
 
 
+#: The arrears events alone.
+EVENTS_SQL = (INSTALMENTS, EVENTS)
+
+
 def features(spark: SparkSession, sf: str) -> DataFrame:
     inst, ev = sources(spark, sf)
     return a.arrears_features(ev, inst, t.applications(spark, sf), t.bureau(spark, sf),

@@ -362,3 +362,69 @@ def test_models_fit_on_a_small_frame(spark):
     assert sum(kept) / len(kept) > sum(broken) / len(broken)
     with pytest.raises(ValueError):
         models.fit_recovery_models(df, ["x", "days_to_cure"], ["days_to_cure"], (1, 1, 1))
+
+
+def _recovery_rows(n=160):
+    r = random.Random(1)
+    return [(i, i // 4, r.gauss(i % 2, 0.6), None if i % 9 == 0 else float(i % 2), i % 2, float(5 + i % 7), 0.5 + (i % 5) / 10, 1000.0 * (1 + i % 60), -9000.0 - 97 * i, 100.0 if i % 11 == 0 else -500.0) for i in range(n)]
+
+
+_RECOVERY = "SK_ID_PREV int, SK_ID_CURR int, x double, y double, recovered int, days_to_cure double, paid_share double, overdue_amount double, days_birth double, days_employed double"
+
+
+def test_whole_model_saved_loaded_and_used_for_decisions(spark, tmp_path):
+    import duckdb
+    from pyspark.ml import PipelineModel
+
+    from ledgerloom.operators import decisions as dec
+    from ledgerloom.operators import scores as sc
+
+    df = spark.createDataFrame(_recovery_rows(), _RECOVERY)
+    model = models.fit_recovery_models(df, ["x", "y"], ["days_to_cure"], (3, 2, 2))
+    model.write().save(str(tmp_path / "model"))
+    again = PipelineModel.load(str(tmp_path / "model"))
+    columns = ["SK_ID_PREV", *sc.SCORES]
+    new = df.drop("recovered", "days_to_cure", "paid_share")
+    assert rows(model.transform(new), *columns) == rows(again.transform(new), *columns)
+
+    table = str(tmp_path / "scores")
+    with pytest.raises(ValueError, match="no score version"):
+        sc.current_scores(spark, table)
+    sc.write_scores(again, new, table, 1, ["overdue_amount", "days_birth", "days_employed"])
+    sc.write_scores(again, new.filter("SK_ID_PREV < 50"), table, 2, ["overdue_amount", "days_birth", "days_employed"])
+    (tmp_path / "scores" / "version=3").mkdir()
+    assert sc.versions(spark, table) == [1, 2]
+    assert sc.current_scores(spark, table).count() == 50
+    with pytest.raises(Exception, match="exists"):
+        sc.write_scores(again, new, table, 2, [])
+    book = sc.decided_book(sc.current_scores(spark, table, 1), 30)
+    got = [tuple(r) for r in book.select("SK_ID_PREV", "is_vulnerable", "recommended_channel", F.round("expected_net_recovery_fcfa", 4), "rank", "assigned_officer").orderBy("rank").collect()]
+    # every column after the score, by SQL over the score table
+    sql = f"""
+    WITH s AS (SELECT * FROM '{table}/version=1/*.parquet'),
+    v AS (SELECT *, coalesce(abs(days_birth) / 365.25, 40) >= 60 OR days_employed >= 0 OR (recovery_probability < 0.05 AND overdue_amount > 200000) AS vul,
+      recovery_probability * partial_recovery_ratio * overdue_amount AS gross, partial_recovery_ratio * overdue_amount AS debt FROM s),
+    n AS (SELECT *, gross - 50 AS sms, least(0.99, recovery_probability * 1.25) * debt - 500 AS call, least(0.99, recovery_probability * 1.45) * debt - 5050 AS visit FROM v),
+    c AS (SELECT *, CASE WHEN vul THEN CASE WHEN overdue_amount >= 25000 THEN 'CALL' ELSE 'SMS' END
+      WHEN visit > greatest(sms, call) AND overdue_amount >= 40000 AND recovery_probability >= 0.10 THEN 'FIELD_VISIT' WHEN call > sms THEN 'CALL' ELSE 'SMS' END AS ch FROM n),
+    r AS (SELECT *, row_number() OVER (ORDER BY gross DESC, SK_ID_CURR, SK_ID_PREV) AS rank FROM c)
+    SELECT SK_ID_PREV, vul, ch, round(gross - CASE ch WHEN 'FIELD_VISIT' THEN 5050 WHEN 'CALL' THEN 500 ELSE 50 END, 4), rank,
+      CASE WHEN rank <= 30 THEN {list(dec.OFFICERS)}[(rank - 1) % 3 + 1] END FROM r ORDER BY rank"""
+    assert got == duckdb.sql(sql).fetchall()
+
+
+def test_preparation_keeps_its_codes(spark, tmp_path):
+    from ledgerloom.operators.stages import Preparation, PreparationModel
+
+    r = random.Random(2)
+    data = [(i, r.choice(["a", "b", "c", None]), None if i % 7 == 0 else float(i), i % 2) for i in range(60)]
+    df = spark.createDataFrame(data, "id int, c string, x double, label int")
+    model, trained = Preparation(["x"], targets=["c"], label="label", key="id", missing_flags=True).fit_transform(df)
+    assert trained.filter("c_enc is null").count() == 0
+    model.write().save(str(tmp_path / "p"))
+    again = PreparationModel.load(str(tmp_path / "p"))
+    new = spark.createDataFrame([(1, "a", None), (2, "unseen", 1.0), (3, None, 2.0)], "id int, c string, x double")
+    assert rows(model.transform(new), "id", "c_enc", "x_missing") == rows(again.transform(new), "id", "c_enc", "x_missing")
+    assert again.uid == model.uid
+    share = sum(x[3] for x in data) / 60
+    assert abs(dict((x[0], x[1]) for x in rows(again.transform(new), "id", "c_enc"))[2] - share) < 1e-12
