@@ -56,6 +56,8 @@ def at_k(df: DataFrame, score: Column, label: str, amount: str, key: str, k: int
 
 # How many accounts the policies are compared on.
 POLICY_K = [50, 100, 200, 400]
+#: Parts of a policy that are ranked apart before the final ranking.
+SLICES = 64
 
 
 def policy_scores(prob: str, amount: str, key: str) -> dict[str, Column]:
@@ -70,15 +72,19 @@ def policy_scores(prob: str, amount: str, key: str) -> dict[str, Column]:
 def compare_policies(df: DataFrame, prob: str, label: str, amount: str, key: str, ks: Sequence[int] = tuple(POLICY_K)) -> DataFrame:
     """Precision and money per k for each policy, and the gain of expected value over biggest debt first.
 
-    Every policy keeps its best max(k) rows; the rank filter is pushed below the
-    shuffle, so only those rows move.
+    Every policy keeps its best max(k) rows, first in each slice of the keys and
+    then among these: the first step spreads over the slices, the second sees at
+    most slices times max(k) rows of a policy.
     """
     policies = policy_scores(prob, amount, key)
     long = df.select(
         F.col(key).alias("_key"), F.col(label).alias("_y"), F.col(amount).alias("_a"),
         F.explode(F.array(*[F.struct(F.lit(n).alias("policy"), s.alias("score")) for n, s in policies.items()])).alias("_p"),
     ).select("_key", "_y", "_a", "_p.policy", "_p.score")
-    w = Window.partitionBy("policy").orderBy(F.col("score").desc(), "_key")
+    order = [F.col("score").desc(), F.col("_key")]
+    part = Window.partitionBy("policy", F.pmod(F.xxhash64("_key"), F.lit(SLICES))).orderBy(*order)
+    long = long.withColumn("_r", F.row_number().over(part)).filter(F.col("_r") <= max(ks)).drop("_r")
+    w = Window.partitionBy("policy").orderBy(*order)
     best = long.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= max(ks))
     hits = best.withColumn("k", F.explode(F.array(*[F.lit(k) for k in ks]))).filter(F.col("_r") <= F.col("k"))
     cells = hits.groupBy("k", "policy").agg(

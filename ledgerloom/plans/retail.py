@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.dates import day_of, month_of, month_offset
 from ..operators.joins import compare_frames, fanout_report, join_checked
 from ..operators.ordered import dense_rank_of
+from ..session import new_path
+from ..sources.layout import lookup, write_clustered
 from . import tables as t
 from .registry import Registry
 from .tables import AGENTS, LINES, SERVICES, TRANSACTIONS, with_sql
@@ -178,6 +180,29 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return txns.filter(F.col("agent_id") == wanted).select("txn_id", "agent_id", "txn_ts", _double("amount_xaf"), "status")
 
 
+#: The agent that is looked up. Fixed value.
+WANTED_AGENT = 7
+_LAID_OUT: dict[tuple[str, str], str] = {}
+
+
+def clustered_transactions(spark: SparkSession, sf: str) -> str:
+    """Path of the transactions laid out by agent; written once per application and input."""
+    at = spark.sparkContext.applicationId, sf
+    if at not in _LAID_OUT:
+        path = new_path(spark, "transactions-by-agent")
+        write_clustered(t.transactions(spark, sf), path, "agent_id", 16, ["txn_id"])
+        _LAID_OUT[at] = path
+    return _LAID_OUT[at]
+
+
+@R.query("transaction_clustered_lookup", with_sql(TRANSACTIONS, body=f"""
+SELECT txn_id, agent_id, txn_ts, CAST(amount_xaf AS DOUBLE) AS amount_xaf, status FROM transactions WHERE agent_id = {WANTED_AGENT}"""))
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """All transactions of one agent from a table in ranges of the agent: the manifest names the files to open."""
+    found = lookup(spark, clustered_transactions(spark, sf), "agent_id", WANTED_AGENT)
+    return found.select("txn_id", "agent_id", "txn_ts", _double("amount_xaf"), "status")
+
+
 # ---- joined fact with rank and share -----------------------------------------------------------
 
 def ranked_fact(lines: DataFrame, agents: DataFrame, services: DataFrame) -> DataFrame:

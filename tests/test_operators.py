@@ -313,10 +313,8 @@ def test_date_folds_cut_between_days(spark):
     assert [got[day(i)] for i in range(13)] == [-1, -1, -1, 0, 0, 1, 1, 2, 2, 3, 3, 4, 4]
 
 
-def test_search_draws_repeat_and_resume(spark):
+def test_search_draws_repeat(spark):
     assert models.draw_parameters(3) == models.draw_parameters(3) != models.draw_parameters(4)
-    done = spark.createDataFrame([(0,), (2,)], "number bigint")
-    assert models.remaining_trials(done, spark, 4) == [1, 3]
 
 
 # ---- repaired cases ----------------------------------------------------------------------------
@@ -428,3 +426,71 @@ def test_preparation_keeps_its_codes(spark, tmp_path):
     assert again.uid == model.uid
     share = sum(x[3] for x in data) / 60
     assert abs(dict((x[0], x[1]) for x in rows(again.transform(new), "id", "c_enc"))[2] - share) < 1e-12
+
+
+def test_trial_ledger_goes_on_after_a_stop(spark, tmp_path):
+    ledger = models.TrialLedger(spark, str(tmp_path / "ledger"))
+    tried, stopping = [], [True]
+
+    def trial(p):
+        tried.append(p["max_iter"])
+        if stopping[0] and len(tried) > 3:
+            raise RuntimeError("stopped")
+        return spark.range(1).select((F.lit(p["max_iter"]) / 1000).alias("value"))
+
+    assert ledger.remaining(6) == [0, 1, 2, 3, 4, 5]
+    with pytest.raises(RuntimeError, match="stopped"):
+        models.run_trials(ledger, 6, trial, at_once=1)
+    assert ledger.numbers() == [0, 1, 2]
+    first = rows(ledger.history(), "number", "value", "max_iter", "learning_rate")
+    stopping[0] = False
+    (tmp_path / "ledger" / "trial=4").mkdir(exist_ok=True)  # what an attempt left that was stopped while it wrote
+    models.run_trials(ledger, 6, trial, at_once=2)
+    assert ledger.remaining(6) == [] and ledger.remaining(7) == [6]
+    assert rows(ledger.history().filter("number < 3"), "number", "value", "max_iter", "learning_rate") == first
+    assert rows(ledger.history(), "number", "max_iter") == [(n, float(models.draw_parameters(n)["max_iter"])) for n in range(6)]
+    assert dict(rows(ledger.attempts(), "number", "attempts"))[3] == 2 and ledger.attempts().count() == 6
+    assert dict(rows(ledger.attempts(), "number", "attempts"))[0] == 1
+    best = [r["best_so_far"] for r in models.trial_history(ledger.history()).orderBy("number").collect()]
+    values = [r["value"] for r in ledger.history().orderBy("number").collect()]
+    assert best == [max(values[: i + 1]) for i in range(6)]
+    assert models.search_summary(ledger.history()).first()["n_trials"] == 6
+    n = len(tried)
+    models.run_trials(ledger, 6, trial)
+    assert len(tried) == n
+
+
+def test_search_then_comparisons_on_the_same_folds(spark, tmp_path):
+    from ledgerloom.plans import modeling as pm
+
+    df = pm.training_frame(spark, "/root/testdata/sf0.001", 2)
+    small = lambda number: {"max_iter": 1 + number, "learning_rate": 0.1, "max_depth": 2, "min_leaf": 5}
+    history = pm.run_search(spark, df, str(tmp_path / "search"), 2, 1, small)
+    assert pm.run_search(spark, df, str(tmp_path / "search"), 2, 1, small).count() == history.count() == 2
+    best = pm.best_parameters(history)
+    assert best["max_iter"] in (1, 2) and best["max_depth"] == 2
+    three = {r["metric"]: r for r in pm.three_way(df, history, 1, 2).collect()}
+    assert set(three) == {"roc_auc", "pr_auc"} and all(0 <= three["roc_auc"][c] <= 1 for c in ("raw", "engineered", "tuned"))
+    tuned = {r["number"]: r["value"] for r in history.collect()}
+    assert abs(three["roc_auc"]["tuned"] - max(tuned.values())) < 1e-12
+    compared = pm.compare_models(df, "onehot", 1, 2, 2)
+    assert sorted((r["model"], r["metric"]) for r in compared.collect()) == [(m, k) for m in ("gradient_boosting", "logistic_regression", "random_forest") for k in ("pr_auc", "roc_auc")]
+
+
+def test_clustered_layout_opens_only_the_files_of_a_key(spark, tmp_path):
+    from ledgerloom.sources.layout import files_with, lookup, write_clustered
+
+    data = [(i % 500, f"r{i}") for i in range(4000)] + [(77, f"hot{i:05d}") for i in range(3000)] + [(None, "none")]
+    df = spark.createDataFrame(data, "k int, v string")
+    path = str(tmp_path / "laid")
+    write_clustered(df, path, "k", 16, ["v"])
+    n_files = spark.read.parquet(f"{path}/manifest").count()
+    assert n_files > 8 and len(files_with(spark, path, 300)) == 1 and 1 < len(files_with(spark, path, 77)) < n_files
+    for value in (0, 77, 300, 499, 9999, -1):
+        found = lookup(spark, path, "k", value)
+        assert rows(found, "k", "v") == sorted(r for r in data if r[0] == value)
+        assert len(found.inputFiles()) <= len(files_with(spark, path, value))
+    assert lookup(spark, path, "k", None).count() == 1
+    assert spark.read.parquet(f"{path}/manifest").agg(F.sum("n_rows")).first()[0] == len(data)
+    write_clustered(df.limit(0), str(tmp_path / "empty"), "k", 4)
+    assert lookup(spark, str(tmp_path / "empty"), "k", 1).count() == 0
