@@ -78,7 +78,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     path = _as_files(log, spark, "ts", "feedback-stream")
     out, checkpoint = new_path(spark, "feedback"), new_path(spark, "feedback-checkpoint")
     _finish(logs.latest_feedback_stream(logs.read_events(spark, path, log.schema, FILES), out, checkpoint, "SK_ID_CURR", "outcome", "ts", "event_id"))
-    return logs.latest_of_epochs(spark, out, "SK_ID_CURR")
+    return logs.latest_feedback(spark, out, "SK_ID_CURR")
 
 
 @R.query("stream_contact_log", """
@@ -100,5 +100,4 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     path = _as_files(pay.unionByName(pay), spark, "paid_at", "payment-stream")
     out, checkpoint = new_path(spark, "payment-totals"), new_path(spark, "payment-totals-checkpoint")
     _finish(logs.payments_per_account_stream(logs.read_events(spark, path, pay.schema, FILES), out, checkpoint))
-    df = spark.read.parquet(out)
-    return df.groupBy("account_id").agg(F.max_by("paid", "epoch").cast("double").alias("paid"), F.max_by("payments", "epoch").alias("payments"))
+    return logs.payment_table(spark, out).read().select("account_id", F.col("paid").cast("double").alias("paid"), "payments")

@@ -494,3 +494,24 @@ def test_clustered_layout_opens_only_the_files_of_a_key(spark, tmp_path):
     assert spark.read.parquet(f"{path}/manifest").agg(F.sum("n_rows")).first()[0] == len(data)
     write_clustered(df.limit(0), str(tmp_path / "empty"), "k", 4)
     assert lookup(spark, str(tmp_path / "empty"), "k", 1).count() == 0
+
+
+def test_epochs_are_folded_and_count_once(spark, tmp_path):
+    from ledgerloom.streaming.epochs import EpochTable
+
+    table = EpochTable(spark, str(tmp_path / "t"), ["k"], lambda: [F.sum("n").alias("n"), F.max("last").alias("last")], fold_after=4)
+    want, most = {}, 0
+    for epoch in range(18):
+        data = [(k, epoch + k, epoch) for k in range(epoch % 3 + 1)]
+        part = spark.createDataFrame(data, "k int, n bigint, last int").coalesce(1)
+        table.save(part, epoch)
+        if epoch % 5 == 0:
+            table.save(part, epoch)  # delivered again
+        for k, n, last in data:
+            want[k] = (want.get(k, (0, 0))[0] + n, last)
+        most = max(most, len([f for f in (tmp_path / "t").iterdir() if f.is_dir()]))
+        if epoch in (2, 7, 17):
+            assert {r["k"]: (r["n"], r["last"]) for r in table.read().collect()} == want
+    assert most <= 2 * 4 + 2
+    table.save(part, 3)  # folded long ago
+    assert {r["k"]: (r["n"], r["last"]) for r in table.read().collect()} == want
