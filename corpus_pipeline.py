@@ -9,7 +9,7 @@ from ledgerloom.llm import quality_forest, secret_scan, simhash_trie, source_mix
 from ledgerloom.llm.common import table
 from ledgerloom.session import materialize
 
-#: Isolation forests and SimHash are no SQL; `tests/llm/test_pipeline.py` holds whole rows of `run` against plain versions of the stages.
+#: Isolation forests and SimHash are no SQL; the operators behind the stages are tested against plain versions.
 ORACLE_SQL = None
 
 
