@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import math
 import re
+import string
 from collections import Counter
 
 import xxhash
 
 SPACE = re.compile(r"[^\x20\x09-\x0D]+")
+SMALL = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 
 
 def sha(x: str | bytes) -> str:
@@ -135,3 +138,56 @@ def contaminated(text, items):
                 hit |= set(range(k, k + n))
                 named.add(str(i))
     return len(words), len(hit), len(named), sha(",".join(sorted(named))), bool(hit) and 20 * len(hit) >= len(words)
+
+
+def url_verdicts(urls):
+    """(verdict, score) of every URL: rules, then two Witten-Bell models held in dictionaries."""
+    rows = []
+    for u in urls:
+        host, path, rule, verdict = url(u)
+        rest = re.sub(r"^[^:/?#]*://", "", u or "").translate(SMALL)
+        first = re.match(r"/[^/]*/?", path)
+        site = xxhash.xxh64_intdigest(first[0] if first else "", seed=xxhash.xxh64_intdigest(host, seed=42))
+        rows.append([rest, verdict, site & 1])
+    learnt = [r for r in rows if r[1] and r[0]]
+    if len({(v, h) for _, v, h in learnt}) < 4:
+        for r in rows:
+            r[2] = xxhash.xxh64_intdigest(r[0], seed=42) & 1
+    size = sum(len(r[0]) for r in learnt)
+    depth = max(d for d in range(40) if 4**d <= size) if size else 0
+    alike = 1 / len({c for r in rows for c in r[0]}) if any(r[0] for r in rows) else 1
+    seen = {}
+    for text, v, h in learnt:
+        marked = "\x02" + text
+        for model in ((v, h), (v, "all")):
+            table = seen.setdefault(model, {})
+            for i in range(1, len(marked)):
+                for k in range(min(depth, i) + 1):
+                    nexts = table.setdefault(marked[i - k : i], {})
+                    nexts[marked[i]] = nexts.get(marked[i], 0) + 1
+
+    def probability(model, marked, i):
+        p, table = alike, seen.get(model, {})
+        for k in range(min(depth, i) + 1):
+            nexts = table.get(marked[i - k : i])
+            if nexts:
+                p = (nexts.get(marked[i], 0) + len(nexts) * p) / (sum(nexts.values()) + len(nexts))
+        return p
+
+    def score(text, by):
+        if not text or len({v for _, v, _ in learnt}) < 2:
+            return None
+        marked = "\x02" + text
+        parts = [math.log(probability(("allow", by), marked, i) / probability(("block", by), marked, i)) for i in range(1, len(marked))]
+        return sum(parts) / len(parts)
+
+    scores = [score(t, 1 - h if v else "all") for t, v, h in rows]
+    place = lambda s: math.floor((min(max(s, -8), 8) + 8) / 16 * 4000)
+    known = [(place(s), v) for s, (_, v, _) in zip(scores, rows) if v and s is not None]
+    n = {v: sum(x == v for _, x in known) for v in ("allow", "block")}
+
+    def right(cut):
+        return sum(v == "allow" and k >= cut for k, v in known) / n["allow"] + sum(v == "block" and k < cut for k, v in known) / n["block"]
+
+    cut = max(sorted({k for k, _ in known}), key=right) * 16 / 4000 - 8 if all(n.values()) else 0.0
+    return [(v or ("block" if not t or (s is not None and s < cut) else "allow"), s) for s, (t, v, _) in zip(scores, rows)]

@@ -48,11 +48,11 @@ def test_urls(spark):
     got, n = rows(spark, 2, "page_id")
     pages = spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url").collect()
     assert n == len(pages)
-    for p in pages:
-        host, path, rule, verdict = plain.url(p.url)
+    for p, (verdict, score) in zip(pages, plain.url_verdicts([p.url for p in pages])):
         r = got[p.page_id]
-        assert (r.host, r.path, r.rule) == (host, path, rule)
-        assert r.verdict == verdict if verdict else r.verdict in ("allow", "block")
+        assert (r.host, r.path, r.rule) == plain.url(p.url)[:3]
+        assert r.verdict == verdict
+        assert r.score == pytest.approx(score, abs=1e-8)
 
 
 def test_secrets(spark, docs):
