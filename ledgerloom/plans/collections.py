@@ -460,6 +460,24 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return rep.campaign_totals(outbox, 50.0).withColumn("total_debt_fcfa", F.round("total_debt_fcfa", 2))
 
 
+@R.query("campaign_audit_rows", with_sql(*BASE, CONTACT, body="""
+SELECT SK_ID_CURR AS account_id, SK_ID_PREV AS loan_id, 'Campaign Automation' AS officer_name, 'CAMPAIGN_MESSAGE_SENT' AS contact_outcome, recommended_channel, is_vulnerable,
+  'Dispatched via bulk campaign: ' || chr(39) || 'Weekly recovery' || chr(39) AS notes, CAST(0 AS INTEGER) AS added_by_rerun FROM contact WHERE SK_ID_CURR % 11 <> 0"""))
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Audit rows of a campaign that was run twice; the second run adds none."""
+    from ..operators.outbox import dispatch
+    from ..session import materialize, new_path
+
+    phone = F.when(F.pmod("SK_ID_CURR", F.lit(11)) == 0, F.lit("none")).otherwise(F.concat(F.lit("67"), F.lpad(F.col("SK_ID_CURR").cast("string"), 7, "0")))
+    messages = materialize(dec.recommend_channel(book(spark, sf)).select(
+        F.col("SK_ID_CURR").alias("account_id"), F.col("SK_ID_PREV").alias("loan_id"), F.col("recommended_channel").alias("channel"), "is_vulnerable", F.col(_A).alias("overdue"),
+        x.is_valid_phone(phone).alias("deliverable")), "messages")
+    path = new_path(spark, "campaign")
+    runs = [dispatch(spark, path, messages, "Weekly recovery", "2024-01-01 09:00:00") for _ in range(2)]
+    return spark.read.parquet(f"{path}/audit").select(
+        "account_id", "loan_id", "officer_name", "contact_outcome", "recommended_channel", "is_vulnerable", "notes", F.lit(sum(runs[1])).alias("added_by_rerun"))
+
+
 def uploaded(df: DataFrame) -> DataFrame:
     """An uploaded book under any of the known headers, with the defaults of the missing ones."""
     spec = {

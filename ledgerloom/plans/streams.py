@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import new_path
-from ..streaming import logs
+from ..streaming import intake, logs
 from ..streaming.promises import resolve_promises
 from . import ledgers as lg
 from .collections import FEEDBACK, feedback_log
@@ -101,3 +101,31 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     out, checkpoint = new_path(spark, "payment-totals"), new_path(spark, "payment-totals-checkpoint")
     _finish(logs.payments_per_account_stream(logs.read_events(spark, path, pay.schema, FILES), out, checkpoint))
     return logs.payment_table(spark, out).read().select("account_id", F.col("paid").cast("double").alias("paid"), "payments")
+
+
+@R.query("payment_file_reconciliation", with_sql("""
+bal AS (SELECT user_id AS account_id, sum(CAST(value AS DECIMAL(18,2))) AS due FROM events WHERE event_type = 'error' GROUP BY 1),
+p AS (SELECT user_id AS account_id, CAST(value AS DECIMAL(18,2)) AS amount, event_id % 50 AS k FROM events WHERE event_type = 'purchase'),
+r AS (SELECT p.*, due, CASE WHEN k = 1 THEN 'unreadable_account' WHEN k = 0 THEN 'unreadable_amount' WHEN k = 2 OR amount <= 0 THEN 'amount_not_positive' WHEN due IS NULL THEN 'unknown_account' ELSE 'booked' END AS kind
+  FROM p LEFT JOIN bal USING (account_id))""", body="""
+SELECT kind, account_id, count(*) AS payments, CAST(sum(amount) AS DOUBLE) AS amount, CAST(least(max(due), sum(amount)) AS DOUBLE) AS applied, count(*) AS audit_rows FROM r WHERE kind = 'booked' GROUP BY 1, 2
+UNION ALL SELECT kind, NULL, count(*), NULL, NULL, 0 FROM r WHERE kind <> 'booked' GROUP BY 1
+UNION ALL SELECT 'missing_columns', NULL, 1, NULL, NULL, 0"""))
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Payments delivered as files under three headers and one that lacks the amount: what was booked, rejects by rule, audit rows."""
+    path, out, checkpoint = (new_path(spark, n) for n in ("payment-files", "payment-booking", "payment-booking-checkpoint"))
+    k = F.pmod("payment_id", F.lit(50))
+    pay = lg.payments(spark, sf).select(
+        F.when(k == 1, "x").otherwise(F.col("account_id").cast("string")).alias("a"),
+        F.when(k == 0, "n/a").when(k == 2, "-5.00").otherwise(F.col("amount").cast("string")).alias("b"), "paid_at", "payment_id")
+    for i, (a, b) in enumerate((("SK_ID_CURR", "Amount"), (" Account_ID ", "amount_paid"), ("client_id", "PAID"))):
+        given = pay.filter(F.pmod("payment_id", F.lit(3)) == i).select(F.col("a").alias(a), F.col("b").alias(b), "paid_at", "payment_id")
+        given.repartition(FILES).write.option("header", True).csv(f"{path}/header-{i}")
+    pay.limit(3).coalesce(1).select(F.col("a").alias("account_id")).write.option("header", True).csv(f"{path}/header-3")
+    _finish(intake.book_payment_files(intake.new_files(spark, f"{path}/*/*.csv", FILES), lg.balances(spark, sf), out, checkpoint, fold_after=2))
+    audit = intake.read_result(spark, out, "audit").groupBy("account_id").agg(F.count(F.lit(1)).alias("audit_rows"))
+    booked = intake.read_result(spark, out, "booked").groupBy("account_id").agg(
+        F.count(F.lit(1)).alias("payments"), F.sum("amount").cast("double").alias("amount"), F.sum(F.col("due_before") - F.col("due_after")).cast("double").alias("applied"))
+    rest = intake.read_result(spark, out, "rejected").select("reject_rule").unionByName(intake.read_result(spark, out, "files").select("reject_rule"))
+    rules = rest.groupBy(F.col("reject_rule").alias("kind")).agg(F.count(F.lit(1)).alias("payments")).withColumn("audit_rows", F.lit(0).cast("bigint"))
+    return booked.join(audit, "account_id").withColumn("kind", F.lit("booked")).unionByName(rules, allowMissingColumns=True).select("kind", "account_id", "payments", "amount", "applied", "audit_rows")

@@ -39,6 +39,14 @@ class EpochTable:
         """The last epoch that the current table holds; -1 before the first folding."""
         return max(self._numbers("current"), default=-1)
 
+    def holds(self, epoch: int) -> bool:
+        """Whether an epoch counts already."""
+        return epoch <= self.folded() or epoch in self._numbers("epoch")
+
+    def started(self) -> bool:
+        """Whether any epoch counts."""
+        return bool(self._parts())
+
     def _parts(self, upto: int | None = None) -> list[str]:
         at = self.folded()
         epochs = [n for n in self._numbers("epoch") if n > at and (upto is None or n <= upto)]
