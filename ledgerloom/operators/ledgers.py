@@ -119,3 +119,13 @@ def sequence_summary(sequences: DataFrame) -> DataFrame:
 def accounts_in_sequence(sequences: DataFrame) -> DataFrame:
     """The distinct accounts with an active sequence, as rows rather than one collected list."""
     return sequences.filter(F.col("status") == "ACTIVE").select("account_id").distinct()
+
+
+def list_sequences(sequences: DataFrame, account: int | None = None, status: str | None = None, limit: int = 50, started: str = "started_at") -> DataFrame:
+    """Newest sequences first, of one account or one status (any case) if asked; the account breaks ties. A report of ``limit`` rows."""
+    out = sequences
+    if account is not None:
+        out = out.filter(F.col("account_id") == account)
+    if status:
+        out = out.filter(F.upper("status") == status.upper())
+    return out.orderBy(F.col(started).desc(), "account_id").limit(limit)

@@ -165,6 +165,14 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return led.accounts_in_sequence(led.stop_on_payment(sequences(spark, sf), payments(spark, sf), "2024-01-05 00:00:00"))
 
 
+@R.query("sequence_list_of_a_status", with_sql(_SEQ, _STOP, body="""
+SELECT account_id, started_at, 'STOPPED' AS status, stopped_at FROM stop WHERE stopped_at IS NOT NULL ORDER BY started_at DESC, account_id LIMIT 50"""))
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """The newest stopped sequences, with the payment that stopped each."""
+    stopped = led.stop_on_payment(sequences(spark, sf), payments(spark, sf), "2024-01-05 00:00:00")
+    return led.list_sequences(stopped, status="stopped").select("account_id", "started_at", "status", "stopped_at")
+
+
 # ---- payments ----------------------------------------------------------------------------------
 
 _PAY = """bal AS (SELECT user_id AS account_id, sum(CAST(value AS DECIMAL(18,2))) AS due FROM events WHERE event_type = 'error' GROUP BY 1),

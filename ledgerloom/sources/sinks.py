@@ -65,5 +65,12 @@ def metrics_long(rows: DataFrame, id_columns: Sequence[str]) -> DataFrame:
     return rows.unpivot(list(id_columns), [F.col(c).cast("double").alias(c) for c in values], "metric", "value")
 
 
-def write_metrics(rows: DataFrame, path: str) -> None:
-    rows.write.json(path)
+def write_metrics(rows: DataFrame, path: str, name: str, id_columns: Sequence[str]) -> None:
+    """Write the metrics document ``name`` of a comparison as (ids, metric, value) rows, beside those of other comparisons; a rerun replaces its own."""
+    metrics_long(rows, id_columns).write.mode("overwrite").json(f"{path}/document={name}")
+
+
+def read_metrics(spark: SparkSession, path: str, ids: str, names: Sequence[str] | None = None) -> DataFrame:
+    """Rows of all metrics documents, or of ``names``, with the column ``document``; ``ids`` is the DDL of the id columns."""
+    df = spark.read.schema(f"{ids}, metric string, value double, document string").json(path)
+    return df if names is None else df.filter(F.col("document").isin(list(names)))
