@@ -123,7 +123,7 @@ def common_cuts(a_ends: list[int], b_ends: list[int]) -> tuple[list[int], list[i
     """For each offset at which tokens of both sides end, in order: how many tokens of A and of B end there or before."""
     at_a = dict(zip(a_ends, range(1, len(a_ends) + 1)))
     at_b = dict(zip(b_ends, range(1, len(b_ends) + 1)))
-    common = sorted(at_a.keys() & at_b.keys())
+    common = list(filter(at_a.__contains__, at_b))  # ends ascend, so the keys stand in order
     return list(map(at_a.__getitem__, common)), list(map(at_b.__getitem__, common))
 
 
