@@ -22,6 +22,7 @@ import sys
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
@@ -119,12 +120,24 @@ def pair_bound(a: Sequence[bytes], b: Sequence[bytes]) -> int:
     return sum(map(len, a)) + sum(map(len, b)) + len(a) + len(b)
 
 
-def common_cuts(a_ends: list[int], b_ends: list[int]) -> tuple[list[int], list[int]]:
+def dictionary(ends: np.ndarray) -> tuple[pd.Index, np.ndarray]:
+    """A hash table of the different ends, and for each how many tokens end there or before."""
+    last = np.flatnonzero(np.append(ends[1:] != ends[:-1], True)) if len(ends) else np.zeros(0, np.int64)
+    return pd.Index(ends[last]), last + 1
+
+
+def cuts_of(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each offset at which tokens of both sides end, in order: how many tokens of A and of B end there or before."""
-    at_a = dict(zip(a_ends, range(1, len(a_ends) + 1)))
-    at_b = dict(zip(b_ends, range(1, len(b_ends) + 1)))
-    common = list(filter(at_a.__contains__, at_b))  # ends ascend, so the keys stand in order
-    return list(map(at_a.__getitem__, common)), list(map(at_b.__getitem__, common))
+    (at_a, upto_a), (at_b, upto_b) = dictionary(a_ends), dictionary(b_ends)
+    found = at_b.get_indexer(at_a)  # ends ascend, so the common ones stand in order
+    common = found >= 0
+    return upto_a[common], upto_b[found[common]]
+
+
+def common_cuts(a_ends: Sequence[int], b_ends: Sequence[int]) -> tuple[list[int], list[int]]:
+    """:func:`cuts_of` for plain lists."""
+    a_cuts, b_cuts = cuts_of(np.asarray(a_ends, np.int64), np.asarray(b_ends, np.int64))
+    return a_cuts.tolist(), b_cuts.tolist()
 
 
 def steps(ends: np.ndarray) -> np.ndarray:
@@ -180,7 +193,7 @@ class Aligner:
         a_ends, b_ends = np.cumsum(self.sizes[0][x]), np.cumsum(self.sizes[1][y])
         if not (self.gives_back(0, x, a_ends, data) and self.gives_back(1, y, b_ends, data)):
             return None
-        a_cuts, b_cuts = map(np.array, common_cuts(a_ends.tolist(), b_ends.tolist()))
+        a_cuts, b_cuts = cuts_of(a_ends, b_ends)
         return x, y, a_cuts, b_cuts, *links_of(x, y, a_ends, b_ends, a_cuts, b_cuts)
 
     def digest(self, a_ids: np.ndarray, b_ids: np.ndarray, a_cuts: np.ndarray, b_cuts: np.ndarray) -> str:
