@@ -1,84 +1,47 @@
-"""Promise lifecycle as a stream: one keyed state per promise, broken by event time.
+"""Promise lifecycle as a stream: promises joined with their updates, and broken by event time.
 
-A promise waits as PENDING until an update arrives or the watermark passes its
-day. State is keyed by the promise itself, so a busy account spreads over many
-keys. The batch form is :mod:`ledgerloom.operators.ledgers`.
+Both sides are streams of built-in operators. A promise waits as PENDING in the
+join's state until an update arrives or the watermark passes its day; an update
+waits for its promise. State is keyed by the promise itself, so a busy account
+spreads over many keys. The batch form is :mod:`ledgerloom.operators.ledgers`.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..session import ship_by_value
+def _timed(ledger: DataFrame, kind: Column, time: str, lateness: str) -> DataFrame:
+    """Events of one kind, each once. All events move the watermark, so ``kind`` is asked above it: it reads the time, which keeps it from being pushed below."""
+    timed = ledger.withColumn("_kind", kind).withWatermark(time, lateness)
+    return timed.filter(F.when(F.col("_kind"), F.col(time)).isNotNull()).dropDuplicatesWithinWatermark(["event_id"])
 
-ship_by_value(__name__)
 
-OUTPUT = "promise_id string, status string, changed_at timestamp"
-STATE = "status string, due_ms bigint, changed_ms bigint"
-
-
-def _latest(frames: Iterator[pd.DataFrame]) -> tuple[str | None, int, int | None]:
-    """Status and time of the newest event, and the due time of the log entry, if among them."""
-    status, changed, due = None, -1, None
-    for f in frames:
-        for s, t, d in zip(f["status"], f["event_time"].astype("int64") // 1000, f["due"].astype("int64") // 1000):
-            if s == "PENDING":
-                due = d // 1000
-            if t > changed or (t == changed and s != "PENDING"):
-                status, changed = s, t
-    return status, changed, due
-
-
-def _row(key: str, status: str, changed_us: int) -> pd.DataFrame:
-    return pd.DataFrame({"promise_id": [key], "status": [status], "changed_at": [pd.Timestamp(changed_us, unit="us")]})
-
-
-def _advance(lateness_ms: int):
-    """Step of one promise. An update that comes before its promise waits for it as long as the lateness allows."""
-
-    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            status, due_ms, _ = state.get
-            state.remove()
-            if status == "PENDING":
-                yield _row(key[0], "BROKEN", due_ms * 1000)
-            return
-        status, changed, due = _latest(frames)
-        if state.exists:
-            old_status, old_due, old_changed = state.get
-            due = old_due if due is None else due
-            if old_changed > changed or (old_changed == changed and old_status != "PENDING"):
-                status, changed = old_status, old_changed
-        watermark = state.getCurrentWatermarkMs()
-        if due is None:
-            # no promise yet: one that was resolved before is not resolved again
-            state.update((status, None, changed))
-            state.setTimeoutTimestamp(max(changed // 1000 + lateness_ms, watermark + 1))
-            return
-        if status != "PENDING" or due <= watermark:
-            # resolved: the state is dropped, so it does not grow with the history
-            if state.exists:
-                state.remove()
-            yield _row(key[0], status, changed) if status != "PENDING" else _row(key[0], "BROKEN", due * 1000)
-            return
-        state.update((status, due, changed))
-        state.setTimeoutTimestamp(due)
-
-    return step
-
-
-def resolve_promises(ledger: DataFrame, lateness_minutes: int = 60) -> DataFrame:
+def resolve_promises(ledger: DataFrame, lateness_minutes: int = 60, longest_days: int = 31) -> DataFrame:
     """Resolved promises of a ledger stream, one row each: KEPT when an update says so, BROKEN when the day has passed.
 
     ``ledger`` has ``event_id``, ``promise_id``, ``status``, ``event_time`` and
     ``due`` (the first moment after the promised day). Repeated deliveries of an
-    event inside the lateness are dropped; an update may come before its promise
-    inside the lateness, and an update of a promise that is broken by then adds
-    nothing. A quiet stream breaks nothing: time moves with the events.
+    event are dropped. An update counts up to ``due`` in event time and may come
+    before its promise; the first to arrive resolves the promise, and one that
+    comes after the promise is broken adds nothing. A quiet stream breaks
+    nothing: time moves with the events.
+
+    ``longest_days`` is the longest term of a promise, for so long an update is
+    kept for a promise yet to come. A promise with a longer term is an error, one
+    without a day has this term.
     """
-    events = ledger.withWatermark("event_time", f"{lateness_minutes} minutes").dropDuplicatesWithinWatermark(["event_id"])
-    return events.groupBy("promise_id").applyInPandasWithState(_advance(lateness_minutes * 60_000), OUTPUT, STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    lateness = f"{lateness_minutes} minutes"
+    pending = F.coalesce(F.col("status") == "PENDING", F.lit(False))
+    term = F.make_dt_interval(F.lit(longest_days))
+    last = F.col("event_time") + term
+    due = F.when(F.col("due") > last, F.raise_error(F.lit(f"a promise has a term of more than {longest_days} days")).cast("timestamp")).otherwise(F.coalesce("due", last))
+    # an update is no promise, but its time is the least that days can be over by
+    by_day = ledger.withColumn("day_over", F.when(pending, due).otherwise(F.col("event_time")))
+    made = _timed(by_day, pending, "day_over", lateness).select("promise_id", "day_over")
+    updates = _timed(ledger, ~pending, "event_time", lateness).select(F.col("promise_id").alias("updated_id"), F.col("status").alias("update"), F.col("event_time").alias("changed_at"))
+    span = f"INTERVAL {longest_days * 1440 + lateness_minutes} MINUTES"
+    met = F.expr(f"promise_id = updated_id AND changed_at <= day_over AND day_over <= changed_at + {span}")
+    joined = made.join(updates, met, "left_outer").select("promise_id", "day_over", F.coalesce("update", F.lit("BROKEN")).alias("status"), F.coalesce("changed_at", "day_over").alias("changed_at"))
+    return joined.dropDuplicatesWithinWatermark(["promise_id"]).select("promise_id", "status", "changed_at")
