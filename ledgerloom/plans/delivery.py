@@ -260,10 +260,11 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     """Parquet bytes of the joined fact before and after narrowing."""
     lines = t.transaction_lines(spark, sf).withColumn("fee_xaf", _double("fee_xaf")).withColumn("amount_xaf", _double("amount_xaf"))
     joined = lines.join(t.agents(spark, sf).select("agent_id", "agent_name", "division", "agent_type"), "agent_id")
-    sizes = []
-    for name, df in (("before", joined), ("after", narrow_types(joined))):
+    sizes, df = [], joined
+    for name in ("before", "after"):
         path = new_path(spark, name)
         df.write.parquet(path)
+        df = narrow_types(spark.read.schema(joined.schema).parquet(path)) if name == "before" else df  # the join runs once
         p = spark._jvm.org.apache.hadoop.fs.Path(path)
         sizes.append((name, p.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(p).getLength()))
     return spark.createDataFrame(sizes, "version string, bytes bigint")
