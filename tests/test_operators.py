@@ -526,6 +526,17 @@ def test_agents_without_a_date_are_kept_and_unreadable_dates_rejected(spark):
     assert rows(cleaned.rejects(), "rule", "n_rows") == [("bad_date", 1), ("loaded", 3)]
 
 
+def test_area_in_parts_is_the_area(spark):
+    from ledgerloom.operators.metrics import roc_area, score_cuts
+
+    r = random.Random(5)
+    df = spark.createDataFrame([(g, r.choice([0.1, 0.2, 0.2, r.random()]), int(r.random() < 0.3)) for g in "abc" for _ in range(300)] + [("d", 0.5, 1)], "g string, s double, y int")
+    for cuts in ([], [0.2], score_cuts(df, "s", 16)):
+        for by in (["g"], []):
+            want, got = ranking_metrics(df, "s", "y", by), roc_area(df, "s", "y", by, cuts)
+            assert rows(got, *by, "n_pos", "n_neg", "roc_auc") == rows(want, *by, "n_pos", "n_neg", "roc_auc")
+
+
 def test_a_bad_value_in_a_later_copy_only_does_not_fail_the_delivery(spark):
     def delivery(*weights):
         data = [("c", "v", "i", "b", "h", "g", "40FT", "p", w, "XAF 5", "yes", "2020-01-02", "5", "YES", "f", 0, i) for i, w in enumerate(weights)]
