@@ -547,3 +547,18 @@ def test_a_bad_value_in_a_later_copy_only_does_not_fail_the_delivery(spark):
     assert rows(loading.clean_containers(delivery("7", "heavy"), vessels), "container_id", "vessel_missing") == [("c", False)]
     with pytest.raises(ValueError, match="gross_weight_kg"):
         loading.clean_containers(delivery("heavy", "7"), vessels)
+
+
+def test_importance_by_parts_of_the_margin(spark):
+    from ledgerloom.operators.encoding import Preprocessor
+
+    r = random.Random(3)
+    data = [(i, r.random(), r.choice("abc"), r.choice("pqrs"), r.random() < 0.5, int(r.random() < 0.4)) for i in range(120)]
+    df = spark.createDataFrame(data, "id int, x double, w string, v string, b boolean, y int").coalesce(1)
+    prep, vectors = Preprocessor(["x"], ["w"], ["b"], ["v"], "target", "y", "id").fit(df)
+    fitted, features = models.logistic_regression(120, 50, "y").fit(vectors), ["x", "w", "v", "b"]
+    got = models.linear_permutation_importance(df, prep, fitted, features, "y", "id", 2)
+    want = models.permutation_importance(df, lambda d: models.positive_score(fitted.transform(prep.transform(d))), features, "y", "id", 2)
+    a, b = (rows(f, "feature", "importance_mean", "importance_std") for f in (got, want))
+    assert [p[0] for p in a] == sorted(features)
+    assert all(abs(p - q) < 1e-9 for m, n in zip(a, b) for p, q in zip(m[1:], n[1:]))
