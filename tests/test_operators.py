@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ledgerloom.operators import arrears as ar
 from ledgerloom.operators import decisions as dec
 from ledgerloom.operators import joins, ledgers, loading, models, quality, reports, routing
-from ledgerloom.operators.history import prior_percentile, prior_rate, trailing_count
+from ledgerloom.operators.history import prior_percentile, prior_rate, prior_rates, trailing_count
 from ledgerloom.operators.metrics import ranking_metrics
 from ledgerloom.operators.ordered import dense_rank_of, next_at, prefix_sums, running_sum, with_position
 from ledgerloom.operators.splits import date_folds
@@ -49,6 +49,28 @@ def test_own_label_does_not_reach_own_feature(spark):
     assert c1(0) == c1(1)
 
 
+def test_prior_rates_of_small_groups_need_no_join(spark, monkeypatch):
+    """Small groups are windows over the rows, large ones day totals joined to them; both give the same, NULL keys and days included."""
+    import ledgerloom.operators.history as h
+
+    r = random.Random(8)
+    data = [(i, r.choice(["a", "b", None]), r.choice([*range(9), None]), r.choice([day(x) for x in range(6)] + [None]), r.choice([0, 1, 1, None])) for i in range(400)]
+    df = spark.createDataFrame(data, "id int, broker string, importer int, d date, y int")
+    groups = {"importer": ("ni", "ri"), "broker": ("nb", "rb")}
+
+    def run():
+        out = prior_rates(df, groups, "d", "y", df)
+        return out._jdf.queryExecution().optimizedPlan().toString(), {x["id"]: (x["ni"], x["ri"], x["nb"], x["rb"]) for x in out.collect()}
+
+    plan, small = run()
+    monkeypatch.setattr(h, "_WINDOW_ROWS", 10)
+    joined, large = run()
+    assert "Join" not in plan and "Join" in joined and small == large
+    for i, b, _, d, _ in data:
+        seen = [y for _, c, _, e, y in data if c == b and y is not None and (e is None or e < d)] if b and d else None
+        assert small[i][2:] == ((None, None) if seen is None else (len(seen), sum(seen) / len(seen) if seen else None))
+
+
 def test_trailing_count(spark):
     df = spark.createDataFrame([(i, day(x)) for i, x in enumerate([0, 0, 1, 8, 9, 30])], "id int, d date")
     out = {r["id"]: (r["same"], r["week"]) for r in trailing_count(df, "d", 7, "same", "week").collect()}
@@ -60,6 +82,17 @@ def test_prior_percentile_known_values(spark):
     assert rows(prior_percentile(df, "g", "d", "v", "p").fillna(-1.0), "id", "p") == [(1, -1.0), (2, -1.0), (3, 0.5)]
 
 
+@pytest.mark.parametrize("most", [0, 1 << 20])
+def test_prior_percentile_joins_few_cells_without_a_shuffle(spark, monkeypatch, most):
+    import ledgerloom.operators.history as h
+
+    monkeypatch.setattr(h, "_BROADCAST_CELLS", most)
+    data = [(1, "a", day(1), 10.0), (2, "a", day(1), 30.0), (3, "a", day(2), 20.0), (4, None, day(2), 1.0), (5, "a", day(3), None)]
+    out = prior_percentile(spark.createDataFrame(data, "id int, g string, d date, v double"), "g", "d", "v", "p")
+    assert {x["id"]: x["p"] for x in out.collect()} == {1: None, 2: None, 3: 0.5, 4: None, 5: None}
+    assert ("strategy=broadcast" in out._jdf.queryExecution().optimizedPlan().toString().split("\n")[1]) == (most > 0)
+
+
 @pytest.mark.parametrize("block_bits", [3, 6, 16])
 def test_prior_percentile_equals_brute_force(spark, monkeypatch, block_bits):
     """One group holds most rows; ties, NULL values and NULL groups included."""
