@@ -251,6 +251,26 @@ def test_arrears_events(spark):
     assert out == {1: (45, 1, 5), 2: (15, 0, None), 3: (15, 0, None)}
 
 
+@pytest.mark.parametrize("as_of", ["known", "due"])
+def test_history_of_small_loans_shuffles_the_rows_once(spark, monkeypatch, as_of):
+    """Rows summed where they meet their event give what cells of days give; NULL days, payments and ties included."""
+    r = random.Random(17)
+    data = [(c, c * 10 + r.randrange(2), r.randrange(1, 5), r.choice([0, 30, 60, None]), r.choice([-5, 0, 20, 50, 90, None]), r.choice(["100", "250", "0"]), r.choice(["100", "50", None]))
+            for c in range(1, 13) for _ in range(9)]
+    df = inst(spark, data).withColumn("tie", F.when(F.rand(3) > 0.1, F.monotonically_increasing_id())).localCheckpoint()
+    ev = ar.arrears_events(df, ["tie"]).localCheckpoint()
+
+    def run():
+        out = ar.repayment_history(ev, df, as_of, ["tie"])
+        return out._jdf.queryExecution().optimizedPlan().toString(), sorted(out.collect(), key=lambda x: (x["SK_ID_CURR"], x["SK_ID_PREV"]))
+
+    plan, small = run()
+    monkeypatch.setattr(ar, "_LOAN_ROWS", 1)
+    cells, large = run()
+    assert small == large and len(small) == ev.count() > 10
+    assert plan.count("Join ") == 1 < cells.count("Join ")
+
+
 def test_history_known_hides_the_event_and_later_payments(spark):
     df = inst(spark, [(1, 10, 1, 0, 20, "100", "100"), (1, 10, 2, 30, 200, "100", "100"), (1, 10, 3, 60, None, "100", None)])
     ev = ar.arrears_events(df)
