@@ -36,17 +36,23 @@ def left_outer(one: DataFrame, many: DataFrame, on) -> DataFrame:
     A left outer join cannot split its right side, so one hot key would run as
     one task. The matched part is an inner join, which adaptive execution can
     split on both sides, and the unmatched rows come from an anti-join with the
-    distinct keys.
+    distinct keys. ``one`` has few rows per key, so a task holds its share of
+    it in a table and reads ``many`` past it, which needs no sort of ``many``.
     """
     keys = _keys(on)
     known = many.select(*keys).distinct()
-    return one.join(many, keys, "inner").unionByName(one.join(known, keys, "left_anti"), allowMissingColumns=True)
+    return many.join(one.hint("shuffle_hash"), keys, "inner").select(*one.columns, *[c for c in many.columns if c not in keys]).unionByName(
+        one.join(known, keys, "left_anti"), allowMissingColumns=True)
 
 
 def full_outer(one: DataFrame, many: DataFrame, on) -> DataFrame:
-    """Full outer join in the same splittable form as :func:`left_outer`."""
+    """Full outer join in the same splittable form as :func:`left_outer`.
+
+    The keys of ``one`` are met as they are shuffled for the inner join; making
+    them distinct first would hold them in memory once more and change nothing.
+    """
     keys = _keys(on)
-    only_many = many.join(one.select(*keys).distinct(), keys, "left_anti")
+    only_many = many.join(one.select(*keys).hint("shuffle_hash"), keys, "left_anti")
     return left_outer(one, many, on).unionByName(only_many, allowMissingColumns=True)
 
 

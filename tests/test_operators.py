@@ -232,6 +232,17 @@ def test_jdbc_options():
         jdbc_options("jdbc:other://x", "t")
 
 
+def test_full_outer_reads_the_many_side_past_a_table_of_the_other(spark):
+    one = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n")], "k int, x string")
+    many = spark.createDataFrame([(1, 10), (1, 11), (3, 30), (None, 0)], "k int, y int")
+    out = joins.full_outer(one, many, "k")
+    assert out.columns == ["k", "x", "y"]
+    got = sorted((tuple(r) for r in out.collect()), key=str)
+    assert got == sorted([(1, "a", 10), (1, "a", 11), (2, "b", None), (None, "n", None), (3, None, 30), (None, None, 0)], key=str)
+    plan = joins.full_outer(one, many, "k")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("strategy=shuffle_hash") == 2 and plan.count("Aggregate") == 1
+
+
 # ---- arrears -----------------------------------------------------------------------------------
 
 INST = "SK_ID_CURR bigint, SK_ID_PREV bigint, NUM_INSTALMENT_NUMBER int, DAYS_INSTALMENT int, DAYS_ENTRY_PAYMENT int, AMT_INSTALMENT decimal(18,2), AMT_PAYMENT decimal(18,2)"
