@@ -426,6 +426,14 @@ def test_models_fit_on_a_small_frame(spark):
         models.fit_recovery_models(df, ["x", "days_to_cure"], ["days_to_cure"], (1, 1, 1))
 
 
+def test_recovery_models_are_fitted_two_at_a_time(spark, monkeypatch):
+    calls = []
+    monkeypatch.setattr(models, "side_by_side", lambda session, tasks, at_once=4: calls.append((len(tasks), at_once)) or [t() for t in tasks])
+    model = models.fit_recovery_models(spark.createDataFrame(_recovery_rows(), _RECOVERY), ["x", "y"], ["days_to_cure"], (1, 1, 1))
+    assert calls == [(3, 2)]
+    assert [type(s).__name__ for s in model.stages[-5:]] == ["CalibratedModel", "GBTRegressionModel", "BoundedScore", "GBTRegressionModel", "BoundedScore"]
+
+
 def _recovery_rows(n=160):
     r = random.Random(1)
     return [(i, i // 4, r.gauss(i % 2, 0.6), None if i % 9 == 0 else float(i % 2), i % 2, float(5 + i % 7), 0.5 + (i % 5) / 10, 1000.0 * (1 + i % 60), -9000.0 - 97 * i, 100.0 if i % 11 == 0 else -500.0) for i in range(n)]
