@@ -282,6 +282,35 @@ def test_history_of_small_loans_shuffles_the_rows_once(spark, monkeypatch, as_of
     assert plan.count("Join ") == 1 < cells.count("Join ")
 
 
+@pytest.mark.parametrize("as_of", ["known", "due"])
+def test_events_and_history_in_one_shuffle(spark, as_of):
+    """Events found by a window have the history that events joined to their instalments have; NULL keys have none."""
+    r = random.Random(19)
+    data = [(r.choice([c, c, c, None]), c * 10 + r.randrange(2), r.randrange(1, 5), r.choice([0, 30, 60, None]), r.choice([-5, 0, 20, 50, 90, None]), r.choice(["100", "250", "0"]), r.choice(["100", "50", None]))
+            for c in range(1, 13) for _ in range(9)]
+    df = inst(spark, data).withColumn("tie", F.when(F.rand(3) > 0.1, F.monotonically_increasing_id())).localCheckpoint()
+    out, want = ar.events_with_history(df, as_of, ["tie"]), ar.repayment_history(ar.arrears_events(df, ["tie"]), df, as_of, ["tie"])
+    key = lambda x: (x["SK_ID_CURR"] or 0, x["SK_ID_PREV"])
+    assert out.columns == want.columns and sorted(out.collect(), key=key) == sorted(want.collect(), key=key)
+    assert any(x["SK_ID_CURR"] is None for x in out.collect())
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+def test_loans_of_very_many_instalments_go_by_cells(spark, monkeypatch):
+    from ledgerloom.plans import arrears as plans
+    from ledgerloom.plans import tables as t
+
+    folder = "/root/testdata/sf0.001"
+    largest = t.instalments(spark, folder).groupBy(*ar.LOAN).count().agg(F.max("count")).first()[0]
+    assert largest <= plans.most_instalments(spark, folder) < 1 << 20
+    small = plans.history(spark, folder)
+    monkeypatch.setattr(ar, "_LOAN_ROWS", 1)
+    cells = plans.history(spark, folder)
+    assert set(small.columns) == set(cells.columns) and small.count() > 100
+    assert small.exceptAll(cells.select(small.columns)).isEmpty() and cells.select(small.columns).exceptAll(small).isEmpty()
+
+
 def test_history_known_hides_the_event_and_later_payments(spark):
     df = inst(spark, [(1, 10, 1, 0, 20, "100", "100"), (1, 10, 2, 30, 200, "100", "100"), (1, 10, 3, 60, None, "100", None)])
     ev = ar.arrears_events(df)
@@ -434,6 +463,33 @@ def test_recovery_models_are_fitted_two_at_a_time(spark, monkeypatch):
     assert [type(s).__name__ for s in model.stages[-5:]] == ["CalibratedModel", "GBTRegressionModel", "BoundedScore", "GBTRegressionModel", "BoundedScore"]
 
 
+def test_recovery_vectors_hold_what_trees_can_use(spark, monkeypatch):
+    """Medians as they are, and a flag only for the column that lacks values; nothing is written on the way."""
+    from ledgerloom.operators import encoding
+
+    written = []
+    monkeypatch.setattr(encoding, "materialize", lambda df, name="stage": written.append(name) or df)
+    prep, vectors = models.recovery_preprocessor(["x", "y"]).fit(spark.createDataFrame(_recovery_rows(), _RECOVERY))
+    got = {v["SK_ID_PREV"]: (v["x"], list(v["features"].toArray())) for v in vectors.select("SK_ID_PREV", "x", "features").collect()}
+    assert got[10] == (got[10][0], [got[10][0], 0.0, 0.0]) and got[9][1][0] == got[9][0] and got[9][1][2] == 1.0
+    assert prep.slots(vectors) == [("x", 0, 1), ("y", 1, 1), ("y", 2, 1)] and written == []
+
+
+def test_sigmoids_take_given_folds_and_margins_written_once(spark, monkeypatch):
+    from ledgerloom.operators import stages
+    from ledgerloom.operators.encoding import inner_fold
+
+    written = []
+    monkeypatch.setattr(stages, "materialize", lambda df, name="stage": written.append((name, df.columns)) or df.localCheckpoint())
+    _, vectors = models.recovery_preprocessor(["x", "y"]).fit(spark.createDataFrame(_recovery_rows(), _RECOVERY))
+    vectors = vectors.withColumn("given", inner_fold(F.col("SK_ID_PREV"), 3)).localCheckpoint()
+    written.clear()
+    make = lambda: models.gradient_boosting(2, 0.1, 3, 5, "recovered")
+    own, given = (stages.CalibratedClassifier(make, 3, "recovered", "SK_ID_PREV", "p", fold).fit(vectors) for fold in (None, "given"))
+    assert rows(own.transform(vectors), "SK_ID_PREV", "p") == rows(given.transform(vectors), "SK_ID_PREV", "p")
+    assert written == [("margins", ["_m", "recovered"])] * 6
+
+
 def _recovery_rows(n=160):
     r = random.Random(1)
     return [(i, i // 4, r.gauss(i % 2, 0.6), None if i % 9 == 0 else float(i % 2), i % 2, float(5 + i % 7), 0.5 + (i % 5) / 10, 1000.0 * (1 + i % 60), -9000.0 - 97 * i, 100.0 if i % 11 == 0 else -500.0) for i in range(n)]
