@@ -463,6 +463,29 @@ def test_recovery_models_are_fitted_two_at_a_time(spark, monkeypatch):
     assert [type(s).__name__ for s in model.stages[-5:]] == ["CalibratedModel", "GBTRegressionModel", "BoundedScore", "GBTRegressionModel", "BoundedScore"]
 
 
+@pytest.mark.parametrize("name", ["recovery_flow"])
+def test_recovery_queries_fit_all_rounds(spark, monkeypatch, name):
+    from ledgerloom.plans import modeling
+
+    class Fitted(Exception):
+        pass
+
+    def make(max_iter, *rest):
+        raise Fitted(max_iter)
+
+    rows = spark.createDataFrame(_recovery_rows(), _RECOVERY).withColumn("is_test", F.col("SK_ID_CURR") % 4 == 0)
+    monkeypatch.setattr(modeling, "recovery_frame", lambda spark, sf: rows)
+    monkeypatch.setattr(modeling, "FEATURE_COLUMNS", ["x", "y"])
+    monkeypatch.setattr(models, "gradient_boosting", make)
+    monkeypatch.setattr(models, "GBTRegressor", lambda **settings: regressors.append(settings["maxIter"]))
+    monkeypatch.setattr(models, "side_by_side", lambda session, tasks, at_once: tasks[0]())
+    regressors = []
+    with pytest.raises(Fitted, match="180"):
+        modeling.R.queries[name](spark, "")
+    assert regressors == [120, 100]
+    assert spark.sparkContext.getCheckpointDir() is not None
+
+
 def test_recovery_vectors_hold_what_trees_can_use(spark, monkeypatch):
     """Medians as they are, and a flag only for the column that lacks values; nothing is written on the way."""
     from ledgerloom.operators import encoding
