@@ -463,7 +463,7 @@ def test_recovery_models_are_fitted_two_at_a_time(spark, monkeypatch):
     assert [type(s).__name__ for s in model.stages[-5:]] == ["CalibratedModel", "GBTRegressionModel", "BoundedScore", "GBTRegressionModel", "BoundedScore"]
 
 
-@pytest.mark.parametrize("name", ["recovery_flow"])
+@pytest.mark.parametrize("name", ["recovery_flow", "recovery_model_saved_and_loaded"])
 def test_recovery_queries_fit_all_rounds(spark, monkeypatch, name):
     from ledgerloom.plans import modeling
 
