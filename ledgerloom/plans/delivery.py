@@ -36,12 +36,12 @@ def _text(*parts) -> Column:
 
 
 def _deliver(frames: list[DataFrame], spark: SparkSession, name: str, columns: tuple[str, ...]) -> DataFrame:
-    """Write the frames as CSV one after the other and read them back as text with their file order."""
+    """Write the frames as compressed CSV one after the other and read them back as text with their file order."""
     root = new_path(spark, name)
     paths = []
     for i, df in enumerate(frames):
         paths.append(f"{root}/{i:03d}")
-        write_csv(df.select(*columns), paths[-1])
+        write_csv(df.select(*columns), paths[-1], "gzip")
     read = [files.with_file_order(files.read_csv(spark, p, schemas.raw(columns))) for p in paths]
     return reduce(DataFrame.unionByName, read)
 

@@ -713,3 +713,45 @@ def test_importance_by_parts_of_the_margin(spark):
     a, b = (rows(f, "feature", "importance_mean", "importance_std") for f in (got, want))
     assert [p[0] for p in a] == sorted(features)
     assert all(abs(p - q) < 1e-9 for m, n in zip(a, b) for p, q in zip(m[1:], n[1:]))
+
+
+def _folders(spark, *names):
+    """Folders in the shared folder whose name starts with one of the names."""
+    import pathlib
+
+    root = pathlib.Path(new_path(spark, "x")).parent
+    return {p.name for p in root.glob("*") if p.name.rsplit("-", 1)[0] in names}
+
+
+def _shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
+    found = set()
+    while files.hasNext():
+        name = files.next().getName()
+        if name.startswith("shuffle"):
+            found.add(name)
+    return found
+
+
+def test_written_rows_leave_no_shuffle_files_and_no_intermediates(spark):
+    from ledgerloom.session import FREE_KEY, condensed, materialize
+
+    before, folders = _shuffle_files(spark), _folders(spark, "step", "end")
+    count = lambda df: df.groupBy((F.col("id") % 7).alias("id")).agg(F.count(F.lit(1)).alias("n"))
+    out = condensed(lambda: count(materialize(count(spark.range(1000).repartition(5)), "step")), "end")
+    assert _shuffle_files(spark) - before == set()
+    assert rows(out, "id", "n") == [(i, 1) for i in range(7)]
+    new = _folders(spark, "step", "end") - folders
+    assert len(new) == 1 and new.pop().startswith("end-")
+    assert spark.conf.get(FREE_KEY, None) is None
+
+
+def test_kept_containers_are_written_typed_before_they_meet_vessels(spark):
+    names = "container_id vessel_id importer_id broker_id hs_chapter goods_description container_type origin_port gross_weight_kg declared_value_xaf inspection_selected arrived_on days_to_clear delayed _file".split()
+    data = [("c", v, "i", "b", "h", "g", "40FT", "p", w, "XAF 5", "yes", "2020-01-02", "5", "YES", "f", 0, i) for i, (v, w) in enumerate([("v", "7"), ("x", "8")])]
+    raw = spark.createDataFrame(data, ", ".join(f"{c} string" for c in names) + ", _block bigint, _row bigint")
+    before = _folders(spark, "containers-once")
+    out = loading.clean_containers(raw, spark.createDataFrame([("v",)], "vessel_id string"))
+    assert [(r["vessel_id"], float(r["gross_weight_kg"]), r["vessel_missing"]) for r in out.collect()] == [("v", 7.0, False)]
+    assert len(_folders(spark, "containers-once") - before) == 1
+    assert "_file" not in out.columns
