@@ -766,3 +766,19 @@ def test_transactions_keep_one_copy_of_the_rows(spark):
     out = loading.clean_transactions(raw, spark.createDataFrame([("A1",)], "agent_id string"), spark.createDataFrame([("S1",)], "service_code string"))
     assert [f.rsplit("-", 1)[0] for f in _folders(spark, *names) - before] == ["transactions-known"]
     assert rows(out.rows, "txn_id", "agent_id", "reject_rule", "raw_copies") == [("t1", "A1", None, 2), ("t2", "A9", "unknown_agent", 1)]
+
+
+def test_features_keep_one_copy_of_the_containers(spark):
+    from ledgerloom.operators import clearance
+
+    data = [(f"c{i}", "i%d" % (i % 2), "b", "h", day(i // 3), i % 2, float(i % 5), 1.0, 10, 1) for i in range(12)]
+    df = spark.createDataFrame(data, "container_id string, importer_id string, broker_id string, hs_chapter string, arrived_on date, delayed int, declared_value_xaf double, gross_weight_kg double, teu_discharged int, container_teu int")
+    names = ("containers", "percentiles", "ordered")
+    before = _folders(spark, *names)
+    out = clearance.build_features(df)
+    assert sorted(f.rsplit("-", 1)[0] for f in _folders(spark, *names) - before) == ["containers", "percentiles"]
+    got = {r["container_id"]: r for r in out.collect()}
+    assert len(got) == 12 and not [c for c in out.columns if c.startswith("_")]
+    last = got["c9"]  # day 3: nine earlier rows, four of importer 1
+    assert (last["broker_prior_count"], last["importer_prior_count"], last["importer_delay_rate"], last["port_same_day_count"]) == (9, 4, 1.0, 3)
+    assert last["value_per_kg_pct_in_chapter"] == sum(i % 5 < 4 for i in range(9)) / 9
