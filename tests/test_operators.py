@@ -782,3 +782,23 @@ def test_features_keep_one_copy_of_the_containers(spark):
     last = got["c9"]  # day 3: nine earlier rows, four of importer 1
     assert (last["broker_prior_count"], last["importer_prior_count"], last["importer_delay_rate"], last["port_same_day_count"]) == (9, 4, 1.0, 3)
     assert last["value_per_kg_pct_in_chapter"] == sum(i % 5 < 4 for i in range(9)) / 9
+
+
+def test_importance_has_one_repeat_under_way(spark, monkeypatch):
+    """An area per feature is written for each repeat, and scores are dealt once for it."""
+    seen, whole = [], models.roc_area
+    monkeypatch.setattr(models, "roc_area", lambda df, score, label, by, cuts: seen.append(df) or whole(df, score, label, by, cuts))
+    r = random.Random(4)
+    data = [(int(r.random() < 0.4), [r.random(), r.random()], i + 1) for i in range(40)]
+    parts = spark.createDataFrame(data, "label int, _own array<double>, _pos bigint").withColumn("score", F.col("_own")[0] + F.col("_own")[1])
+    before = _folders(spark, "areas")
+    assert models.importance_of_parts(parts, ["a", "b"], 3).count() == 2
+    assert [[x[0] for x in df.select("_repeat").distinct().collect()] for df in seen if "_repeat" in df.columns] == [[0], [1], [2]]
+    assert len(_folders(spark, "areas") - before) == 3
+
+
+def test_areas_deal_the_rows_once(spark):
+    from ledgerloom.operators.metrics import roc_area
+
+    plan = roc_area(spark.range(9).select((F.col("id") % 3).alias("g"), F.col("id").cast("double").alias("s"), (F.col("id") % 2).alias("y")), "s", "y", ["g"], [3.0, 5.0])
+    assert plan._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
