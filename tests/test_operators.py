@@ -802,3 +802,18 @@ def test_areas_deal_the_rows_once(spark):
 
     plan = roc_area(spark.range(9).select((F.col("id") % 3).alias("g"), F.col("id").cast("double").alias("s"), (F.col("id") % 2).alias("y")), "s", "y", ["g"], [3.0, 5.0])
     assert plan._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+
+
+def test_fold_isolation_leaves_no_training_rows_behind(spark, monkeypatch):
+    from ledgerloom.plans import modeling
+
+    data = [(f"k{i}", i % 2, 1.0, 2.0, f"b{i % 3}", f"h{i % 2}", f"i{i}", None if i < 20 else (i - 20) // 8) for i in range(60)]
+    df = spark.createDataFrame(data, "container_id string, delayed int, gross_weight_kg double, declared_value_xaf double, broker_id string, hs_chapter string, importer_id string, val_fold int")
+    monkeypatch.setattr(modeling, "raw_frame", lambda spark, sf, columns: df)
+    names = ("prepared", "modes", "codes", "categories", "category-numbers", "ordered", "folded", "learned")
+    before = _folders(spark, *names)
+    out = modeling.R.queries["fold_isolation_of_categories"](spark, "")
+    new = sorted(f.rsplit("-", 1)[0] for f in _folders(spark, *names) - before)
+    assert new == ["folded"] + ["learned"] * 10
+    got = {(r["fold"], r["encoder"], r["column"]): (r["labels_learned"], r["labels_not_in_train"]) for r in out.collect()}
+    assert got[0, "onehot", "importer_id"] == (20, 0) and got[4, "target", "importer_id"] == (52, 0) and got[4, "mode", "hs_chapter"] == (1, 0)
